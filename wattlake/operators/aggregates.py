@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import datetime
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -106,14 +108,29 @@ def energy_cube(tagged: DataFrame, *extra_keys: str) -> DataFrame:
 
     The raw layer is read once for generation and consumption together, every row costs one
     decimal addition, and the partial sums of each task leave little to shuffle however many
-    rows a single location or source holds.
+    rows a single location or source holds. Rows without a date end in groups of their own,
+    which are dropped by their count of dates.
     """
-    return tagged.groupBy(
-        *PERIOD_LOCATION, *extra_keys, "energy_source", "sector", "is_generation",
-        "is_consumption",
-    ).agg(
-        F.sum("mwh").alias("mwh"),
-        F.max("ingestion_timestamp").alias("ingestion_timestamp"),
+    return (
+        tagged.groupBy(
+            *PERIOD_LOCATION, *extra_keys, "energy_source", "sector", "is_generation",
+            "is_consumption",
+        )
+        .agg(
+            F.sum("mwh").alias("mwh"),
+            F.max("ingestion_timestamp").alias("ingestion_timestamp"),
+            F.count("period_date").alias("dated_rows"),
+        )
+        .filter("dated_rows > 0")
+        # Both keys are set by now. Saying so keeps later joins from sending a not-null test
+        # of the parsed keys down to the raw scan, where it would parse every row once more.
+        .withColumns(
+            {
+                "period_date": F.coalesce("period_date", F.lit(datetime.date(1970, 1, 1))),
+                "location": F.coalesce("location", F.lit("")),
+            }
+        )
+        .drop("dated_rows")
     )
 
 

@@ -11,84 +11,103 @@ QUARTILES = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
 SKETCH_ACCURACY = 10_000
 
 
-def long_values(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """(column, value) rows of the non-null values."""
-    doubles = rows.select(*(F.col(c).cast("double").alias(c) for c in columns))
-    return doubles.unpivot([], list(columns), "column", "value").dropna(subset=["value"])
+def first_pass(
+    rows: DataFrame, columns: Sequence[str], probabilities: dict[str, float],
+    accuracy: int = SKETCH_ACCURACY,
+) -> DataFrame:
+    """Moments of every column and a narrow range around each percentile, in one scan.
+
+    A mergeable sketch per column misses a rank by at most count/accuracy, so a range that
+    reaches two such steps to both sides holds the rank. A column with no more values than
+    the sketch has steps is taken whole.
+    """
+    margin = 2.0 / accuracy
+    low = [max(0.0, p - margin) for p in probabilities.values()]
+    high = [min(1.0, p + margin) for p in probabilities.values()]
+
+    def statistics(name: str) -> Column:
+        x = F.col(name).cast("double")
+        sketch = F.percentile_approx(x, F.array(*(F.lit(p) for p in low + high)), F.lit(accuracy))
+        return F.struct(
+            F.lit(name).alias("column"),
+            F.count(x).alias("count"),
+            F.avg(x).alias("mean"),
+            F.stddev_samp(x).alias("std"),
+            F.min(x).alias("min"),
+            F.max(x).alias("max"),
+            sketch.alias("sketch"),
+        )
+
+    whole = F.col("count") <= accuracy
+    ends = []
+    for i, (name, p) in enumerate(probabilities.items()):
+        lo = F.col("min") if p <= margin else F.get("sketch", F.lit(i))
+        hi = F.col("max") if p >= 1 - margin else F.get("sketch", F.lit(len(low) + i))
+        ends += [
+            F.when(whole, F.col("min")).otherwise(lo).alias(f"lo_{name}"),
+            F.when(whole, F.col("max")).otherwise(hi).alias(f"hi_{name}"),
+        ]
+    return (
+        rows.agg(F.array(*(statistics(c) for c in columns)).alias("all"))
+        .select(F.inline("all"))
+        .select("*", *ends)
+        .drop("sketch")
+    )
 
 
 def exact_percentiles(
-    values: DataFrame, probabilities: dict[str, float], accuracy: int = SKETCH_ACCURACY
+    rows: DataFrame, columns: Sequence[str], ranges: DataFrame, probabilities: dict[str, float]
 ) -> DataFrame:
-    """Exact percentiles of each column, interpolated linearly between neighbouring ranks.
+    """Exact percentiles (column, name, value), interpolated linearly between ranks.
 
-    A mergeable sketch first gives a narrow range of values around each rank; its error is at
-    most total/accuracy ranks, so the range reaches two such steps to both sides. A second
-    pass counts the rows below the range and, by value, those inside it. Only the distinct
-    values of the ranges are ever sorted.
+    A second scan counts, for each column, the values below each range and, one by one, those
+    inside; equal values combine before the shuffle. Only the distinct values of the ranges
+    are ever sorted. The ranges are one row for each column, a broadcast of fixed size.
     """
-    margin = 2.0 / accuracy
-    total, names = F.count(F.lit(1)).alias("total"), list(probabilities)
-
-    def quantile(p: float) -> Column:
-        return F.percentile_approx("value", F.lit(min(1.0, max(0.0, p))), F.lit(accuracy))
-
-    def lower(p: float) -> Column:
-        return F.min("value") if p - margin <= 0 else quantile(p - margin)
-
-    def upper(p: float) -> Column:
-        return F.max("value") if p + margin >= 1 else quantile(p + margin)
-
-    # Small columns are covered whole: their rank steps are below one row.
-    ranges = (
-        values.groupBy("column")
-        .agg(
-            total,
-            F.min("value").alias("least"),
-            F.max("value").alias("most"),
-            *(lower(probabilities[n]).alias(f"lo_{n}") for n in names),
-            *(upper(probabilities[n]).alias(f"hi_{n}") for n in names),
-        )
-        .select(
-            "column",
-            F.explode(
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(n).alias("name"),
-                            F.lit(probabilities[n]).alias("p"),
-                            "total",
-                            F.when(F.col("total") <= accuracy, F.col("least"))
-                            .otherwise(F.col(f"lo_{n}"))
-                            .alias("lo"),
-                            F.when(F.col("total") <= accuracy, F.col("most"))
-                            .otherwise(F.col(f"hi_{n}"))
-                            .alias("hi"),
-                        )
-                        for n in names
-                    )
-                )
-            ).alias("r"),
+    names = list(probabilities)
+    values = (
+        rows.select(*(F.col(c).cast("double").alias(c) for c in columns))
+        .unpivot([], list(columns), "column", "value")
+        .filter(F.col("value").isNotNull())
+        .join(F.broadcast(ranges), "column")
+    )
+    value = F.col("value")
+    sides = [
+        F.when(value < F.col(f"lo_{n}"), -1).when(value > F.col(f"hi_{n}"), 1).otherwise(0).alias(n)
+        for n in names
+    ]
+    inside = F.array_contains(F.array(*(F.col(n) for n in names)), 0)
+    grouped = (
+        values.select("column", "count", "value", *sides)
+        .select("column", "count", *names, F.when(inside, value).alias("value"))
+        .groupBy("column", "count", *names, "value")
+        .agg(F.count(F.lit(1)).alias("n"))
+    )
+    each = F.array(
+        *(
+            F.struct(
+                F.lit(n).alias("name"), F.lit(probabilities[n]).alias("p"), F.col(n).alias("side")
+            )
+            for n in names
         )
-        .select("column", "r.*")
     )
-    # One row for each column and probability: a broadcast that does not grow with the data.
     counted = (
-        values.join(F.broadcast(ranges), "column")
-        .filter(F.col("value") <= F.col("hi"))
-        .withColumn("at", F.when(F.col("value") >= F.col("lo"), F.col("value")))
-        .groupBy("column", "name", "p", "total", "at")
-        .agg(F.count(F.lit(1)).alias("n"))
+        grouped.select("column", "count", "value", "n", F.inline(each))
+        .filter(F.col("side") <= 0)
+        .groupBy("column", "count", "name", "p", F.when(F.col("side") == 0, value).alias("at"))
+        .agg(F.sum("n").alias("n"))
     )
     order = Window.partitionBy("column", "name").orderBy(F.asc_nulls_first("at"))
-    position = F.col("p") * (F.col("total") - 1)
-    ranked = counted.withColumn(
-        "through", F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0))
-    ).withColumn("position", position)
+    ranked = counted.withColumns(
+        {
+            "through": F.sum("n").over(order.rowsBetween(Window.unboundedPreceding, 0)),
+            "position": F.col("p") * (F.col("count") - 1),
+        }
+    )
 
     def value_at(rank: Column) -> Column:
-        inside = F.col("at").isNotNull() & (F.col("through") > rank)
-        return F.min(F.when(inside & (F.col("through") - F.col("n") <= rank), F.col("at")))
+        hit = (F.col("through") > rank) & (F.col("through") - F.col("n") <= rank)
+        return F.min(F.when(hit, F.col("at")))
 
     picked = ranked.groupBy("column", "name").agg(
         F.first("position").alias("position"),
@@ -97,24 +116,22 @@ def exact_percentiles(
     )
     missing = F.col("low").isNull() | F.col("high").isNull()
     fraction = F.col("position") - F.floor("position")
-    result = F.when(missing, F.raise_error(F.lit("rank outside of the sketched range"))).otherwise(
+    exact = F.when(missing, F.raise_error(F.lit("rank outside of the sketched range"))).otherwise(
         F.col("low") + (F.col("high") - F.col("low")) * fraction
     )
-    return picked.select("column", "name", result.cast("double").alias("value"))
-
-
-def describe(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
-    """count, mean, std (n-1), min, quartiles and max of each column, one row for each."""
-    values = long_values(rows, columns)
-    moments = values.groupBy("column").agg(
-        F.count("value").alias("count"),
-        F.avg("value").alias("mean"),
-        F.stddev_samp("value").alias("std"),
-        F.min("value").alias("min"),
-        F.max("value").alias("max"),
-    )
+    return picked.select("column", "name", exact.cast("double").alias("value"))
+
+
+def describe(
+    rows: DataFrame, columns: Sequence[str], accuracy: int = SKETCH_ACCURACY
+) -> DataFrame:
+    """count, mean, std (n-1), min, quartiles and max of each column, one row for each.
+
+    The rows are scanned twice: give a stored table rather than a long plan.
+    """
+    moments = first_pass(rows, columns, QUARTILES, accuracy)
     quartiles = (
-        exact_percentiles(values, QUARTILES)
+        exact_percentiles(rows, columns, moments, QUARTILES)
         .groupBy("column")
         .pivot("name", list(QUARTILES))
         .agg(F.first("value"))

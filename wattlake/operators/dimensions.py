@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake import schemas
 from wattlake.functions import scalar
@@ -62,22 +63,32 @@ def calendar_columns(date: Column) -> dict[str, Column]:
 def dim_time(
     spark: SparkSession, start: str = CALENDAR_START, end: str = CALENDAR_END
 ) -> DataFrame:
-    days = calendar_days(
-        spark.range(1), F.lit(start).cast("date"), F.lit(end).cast("date")
-    )
+    one_row = spark.range(0, 1, 1, 1)
+    days = calendar_days(one_row, F.lit(start).cast("date"), F.lit(end).cast("date"))
     columns = calendar_columns(F.col("date"))
     key = columns.pop("time_key").alias("time_key")
     return days.select(key, "date", *(c.alias(name) for name, c in columns.items()))
 
 
+def _seed_rows(spark: SparkSession, rows: list[tuple], schema: T.StructType) -> DataFrame:
+    """Literal rows as a relation of the plan itself: its size is known, no job makes it."""
+
+    def literal(value: object) -> str:
+        return "NULL" if value is None else f"'{value}'" if isinstance(value, str) else str(value)
+
+    table = ", ".join(f"({', '.join(literal(v) for v in row)})" for row in rows)
+    values = spark.sql(f"SELECT * FROM VALUES {table} AS t({', '.join(schema.fieldNames())})")
+    return values.select(*(F.col(f.name).cast(f.dataType).alias(f.name) for f in schema.fields))
+
+
 def dim_energy_source(spark: SparkSession) -> DataFrame:
     rows = [(key, *row) for key, row in enumerate(ENERGY_SOURCES, start=1)]
-    return spark.createDataFrame(rows, schemas.DIM_ENERGY_SOURCE)
+    return _seed_rows(spark, rows, schemas.DIM_ENERGY_SOURCE)
 
 
 def dim_location(spark: SparkSession) -> DataFrame:
     rows = [(key, *row, None, None, None) for key, row in enumerate(LOCATIONS, start=1)]
-    return spark.createDataFrame(rows, schemas.DIM_LOCATION)
+    return _seed_rows(spark, rows, schemas.DIM_LOCATION)
 
 
 def insert_if_absent(existing: DataFrame, new: DataFrame, keys: Sequence[str]) -> DataFrame:

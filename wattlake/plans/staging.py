@@ -53,22 +53,22 @@ def tag_energy(raw_eia: DataFrame) -> DataFrame:
     """Generation and consumption rows of one scan, each marked as either or both.
 
     The two staging models share their parsing, so the models that need only sums can read
-    the raw layer once instead of once for each.
+    the raw layer once instead of once for each. Rows without a date are still among them:
+    the cube drops their groups, which spares a second parsing of every period in a filter.
     """
     generation = F.coalesce(filters.is_generation(), F.lit(False))
     consumption = F.coalesce(filters.is_consumption(), F.lit(False))
-    columns = [
-        "ingestion_timestamp", "period_date", "location", "location_type", "energy_source",
-        "sector", "energy_mwh",
-    ]
-    tagged = raw_eia.select(
+    rows = raw_eia.filter(
+        (F.col("value") >= 0) & F.col("location").isNotNull() & (generation | consumption)
+    )
+    return rows.select(
         *_energy_columns("energy"),
         generation.alias("is_generation"),
         consumption.alias("is_consumption"),
-    ).filter(F.col("is_generation") | F.col("is_consumption"))
-    return tagged.select(*columns, "is_generation", "is_consumption").withColumnRenamed(
-        "energy_mwh", "mwh"
-    ).dropna(subset=["period_date", "location", "mwh"])
+    ).select(
+        "ingestion_timestamp", "period_date", "location", "location_type", "energy_source",
+        "sector", F.col("energy_mwh").alias("mwh"), "is_generation", "is_consumption",
+    )
 
 
 def stage_enrichment(raw_enrichment: DataFrame) -> DataFrame:

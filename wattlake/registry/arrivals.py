@@ -43,13 +43,13 @@ def fact_without_fanout(t: Tables):
 
 @query("X02_stream_landing", _ENRICHED_SQL)
 def stream_landing(t: Tables):
-    """Record files that arrive in several batches, landed by a stream that is run twice."""
+    """Arrived record files, landed by a stream that is run twice."""
     folder = work_folder(t.spark, "landing")
     texts = derived.enrichment_record_texts(t.raw_enrichment)
-    texts.repartition(4).write.parquet(f"{folder}/arrived")
+    texts.write.parquet(f"{folder}/arrived")
 
     def run() -> None:
-        lines = arrivals.read_files(t.spark, f"{folder}/arrived", texts.schema, "*.parquet", 2)
+        lines = arrivals.read_files(t.spark, f"{folder}/arrived", texts.schema, "*.parquet")
         lines = lines.withColumnRenamed("text", "value")
         arrivals.append_enrichment(
             lines, f"{folder}/raw", f"{folder}/checkpoint", keep=("id",)

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from wattlake.operators import report_measures
-from wattlake.plans import combined, fact, staging
+from wattlake.plans import combined, fact, refresh, staging
 from wattlake.registry.sql import assemble
+from wattlake.session import work_folder
 from wattlake.sources import derived
 
 
@@ -57,6 +58,13 @@ class Tables:
     def fact(self) -> DataFrame:
         return fact.build(self.raw_eia, self.raw_enrichment, self.dims)
 
+    @cached_property
+    def stored_rows(self) -> DataFrame:
+        """Report rows of a written mart, for reports that scan it more than once."""
+        path = work_folder(self.spark, "mart") + "/fct_energy_metrics"
+        refresh.rebuild(self.fact, path)
+        return report_measures.with_report_columns(self.spark.read.parquet(path))
+
     @cached_property
     def report_rows(self) -> DataFrame:
         return report_measures.with_report_columns(self.fact)

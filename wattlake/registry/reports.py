@@ -145,7 +145,7 @@ SELECT '{column}' AS "column", count({column}) AS count, round(avg({x}), 3) AS m
 
 @query("A17_describe", _describe_sql())
 def describe_fact(t: Tables):
-    stats = describe(t.report_rows, report.DESCRIBED_COLUMNS)
+    stats = describe(t.stored_rows, report.DESCRIBED_COLUMNS)
     return _rounded(_rounded(stats, 3, "mean", "std"), 6, "p25", "p50", "p75")
 
 
@@ -166,7 +166,7 @@ def newest(t: Tables):
     return scans.newest(t.fact, ["time_key", "location_key"], 2_500)
 
 
-@query("T04_top_generators", _BY_LOCATION + _RANK.format("total_generation_mwh") + " LIMIT 3")
+@query("T04_top_generators", _BY_LOCATION + " " + _RANK.format("total_generation_mwh") + " LIMIT 3")
 def top_generators(t: Tables):
     return measures.top(measures.sum_by_location(t.report_rows), "total_generation_mwh")
 
@@ -224,7 +224,7 @@ def economic_scatter(t: Tables):
 ) + f""" UNION ALL SELECT 'locations_at_least_half_renewable',
   CAST(count(*) FILTER (WHERE renewable_percentage >= 50) AS DOUBLE) FROM ({_RENEWABLE})""")
 def summary(t: Tables):
-    return _rounded(report.summary(t.report_rows), 3, "value")
+    return _rounded(report.summary(t.stored_rows), 3, "value")
 
 
 def _quality_sql() -> str:
@@ -248,4 +248,4 @@ def _quality_sql() -> str:
 
 @query("R08_quality_summary", _quality_sql())
 def quality_summary(t: Tables):
-    return _rounded(report.quality_summary(t.report_rows), 3, "value")
+    return _rounded(report.quality_summary(t.stored_rows), 3, "value")

@@ -28,8 +28,9 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _pick(values: list[str | None], remainder: Column) -> Column:
-    return F.element_at(F.array(*(F.lit(v) for v in values)), (remainder + 1).cast("int"))
+def _pick(values: list[str | None], remainder: str) -> Column:
+    texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
+    return F.expr(f"element_at(array({texts}), CAST({remainder} + 1 AS INT))")
 
 
 def _forward(column: str) -> Column:
@@ -48,11 +49,12 @@ def raw_eia(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(part % 3 == 1, "ELEC.GENERATION.ALL")
         .when(part % 3 == 2, "ELEC.CONSUMPTION.TOT")
     )
+    day = shipped.cast("string")
     period = (
-        F.when(order % 50 == 0, F.date_format(shipped, "yyyy"))
+        F.when(order % 50 == 0, F.substring(day, 1, 4))
         .when(order % 50 == 1, "n/a")
-        .when(order % 50 == 2, F.date_format(shipped, "yyyy-MM-dd"))
-        .otherwise(F.date_format(shipped, "yyyy-MM"))
+        .when(order % 50 == 2, day)
+        .otherwise(F.substring(day, 1, 7))
     )
     quantity = F.col("l_quantity").cast(MEASURE)
     value = (
@@ -69,7 +71,7 @@ def raw_eia(spark: SparkSession, sf_dir: str) -> DataFrame:
         .when(supp % 10 <= 4, "Region")
         .otherwise("state")
     )
-    sector = F.when(line <= 5, _pick(SECTORS, line - 1))
+    sector = F.when(line <= 5, _pick(SECTORS, "l_linenumber - 1"))
     return (
         read(spark, sf_dir, "lineitem")
         .withColumn("shipped", _forward("l_shipdate"))
@@ -80,10 +82,10 @@ def raw_eia(spark: SparkSession, sf_dir: str) -> DataFrame:
             series.alias("series_id"),
             period.alias("period"),
             value.cast(MEASURE).alias("value"),
-            _pick(UNITS, part % 7).alias("units"),
-            _pick(LOCATIONS, supp % 10).alias("location"),
+            _pick(UNITS, "l_partkey % 7").alias("units"),
+            _pick(LOCATIONS, "l_suppkey % 10").alias("location"),
             location_type.alias("location_type"),
-            _pick(SOURCES, order % 9).alias("energy_source"),
+            _pick(SOURCES, "l_orderkey % 9").alias("energy_source"),
             sector.alias("sector"),
             F.lit(None).cast("string").alias("raw_json"),
         )
@@ -102,8 +104,8 @@ def raw_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
             order.alias("id"),
             F.lit("FastAPI").alias("source"),
             ordered.cast("timestamp_ntz").alias("ingestion_timestamp"),
-            F.date_format(ordered, "yyyy-MM-01").alias("period"),
-            _pick(DIM_CODES, cust % 10).alias("location"),
+            F.trunc(ordered, "MM").cast("string").alias("period"),
+            _pick(DIM_CODES, "o_custkey % 10").alias("location"),
             temperature.alias("temperature_avg"),
             F.when(temperature.isNotNull(), F.lit("fahrenheit")).alias("temperature_unit"),
             F.when(order % 59 != 0, cust * 12345 % 20_000_000).alias("population"),

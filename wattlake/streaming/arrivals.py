@@ -34,6 +34,11 @@ def read_files(
     )
 
 
+def with_event_time(stream: DataFrame, ts: str = "ts") -> DataFrame:
+    """Zone-less times as times of the session zone: a watermark takes no others."""
+    return stream.withColumn(ts, F.col(ts).cast("timestamp"))
+
+
 def append_enrichment(
     lines: DataFrame, path: str, checkpoint: str, keep: tuple[str, ...] = ()
 ) -> StreamingQuery:
@@ -62,13 +67,14 @@ def first_arrivals(
 ) -> DataFrame:
     """Each key once while its copies arrive within the delay. Later copies pass, and rows
     older than the watermark are dropped; the batch refresh of the mart settles those."""
-    return stream.withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
+    return with_event_time(stream, ts).withWatermark(ts, delay).dropDuplicatesWithinWatermark([key])
 
 
 def hourly_counts(stream: DataFrame, ts: str = "ts", delay: str = "1 hour") -> DataFrame:
     """Number of arrivals in each hour that the watermark has closed."""
     return (
-        stream.withWatermark(ts, delay)
+        with_event_time(stream, ts)
+        .withWatermark(ts, delay)
         .groupBy(F.window(ts, "1 hour"))
         .agg(F.count(F.lit(1)).alias("n"))
         .select(
