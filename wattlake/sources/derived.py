@@ -6,11 +6,9 @@ divisions, missing types, sources and values, and periods of four shapes.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.schemas import MEASURE
-
 # Fixed values of the derivation rules, each list by remainder.
 UNITS = ["MWh", "megawatthours", "thousand MWh", "GWh", "kWh", " gwh ", None]
 LOCATIONS = ["US", "ne", "MW", "US-S", " us-w ", "CA", "tx", "NY ", "US-FL", "il"]
@@ -28,93 +26,69 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
 
 
-def _pick(values: list[str | None], remainder: str) -> Column:
+def _pick(values: list[str | None], remainder: str) -> str:
     texts = ", ".join("NULL" if v is None else f"'{v}'" for v in values)
-    return F.expr(f"element_at(array({texts}), CAST({remainder} + 1 AS INT))")
+    return f"element_at(array({texts}), CAST({remainder} + 1 AS INT))"
 
 
-def _forward(column: str) -> Column:
-    return F.add_months(F.col(column).cast("date"), 12 * YEARS_FORWARD)
+def _forward(column: str) -> str:
+    return f"add_months(CAST({column} AS DATE), {12 * YEARS_FORWARD})"
 
 
 def raw_eia(spark: SparkSession, sf_dir: str) -> DataFrame:
-    order, part, supp, line = (
-        F.col(c) for c in ("l_orderkey", "l_partkey", "l_suppkey", "l_linenumber")
-    )
-    shipped = F.col("shipped")
-    series = (
-        F.when(part % 11 == 0, "elec.revenue.x")
-        .when(F.col("l_returnflag") == "R", "ELEC.SALES.RES")
-        .when(F.col("l_returnflag") == "A", "ELEC.GEN.ALL")
-        .when(part % 3 == 1, "ELEC.GENERATION.ALL")
-        .when(part % 3 == 2, "ELEC.CONSUMPTION.TOT")
-    )
-    day = shipped.cast("string")
-    period = (
-        F.when(order % 50 == 0, F.substring(day, 1, 4))
-        .when(order % 50 == 1, "n/a")
-        .when(order % 50 == 2, day)
-        .otherwise(F.substring(day, 1, 7))
+    rows = read(spark, sf_dir, "lineitem")
+    shipped = rows.selectExpr(
+        "l_orderkey", "l_partkey", "l_suppkey", "l_linenumber", "l_returnflag",
+        "CAST(l_quantity AS DECIMAL(18,4)) AS quantity",
+        f"{_forward('l_shipdate')} AS shipped",
     )
-    quantity = F.col("l_quantity").cast(MEASURE)
-    value = (
-        F.when(part % 97 == 0, F.lit(None))
-        .when(part % 97 == 1, -quantity)
-        .when(part % 97 == 2, F.lit(0).cast(MEASURE))
-        .otherwise(quantity)
-    )
-    location_type = (
-        F.when(order % 40 == 0, "mountain")
-        .when(order % 40 == 1, F.lit(None))
-        .when(order % 40 == 2, "Mountain")
-        .when(supp % 10 == 0, "national")
-        .when(supp % 10 <= 4, "Region")
-        .otherwise("state")
-    )
-    sector = F.when(line <= 5, _pick(SECTORS, "l_linenumber - 1"))
-    return (
-        read(spark, sf_dir, "lineitem")
-        .withColumn("shipped", _forward("l_shipdate"))
-        .select(
-            (((order * 10 + line) * 100_000 + part) * 10_000 + supp).alias("id"),
-            F.lit("EIA").alias("source"),
-            shipped.cast("timestamp_ntz").alias("ingestion_timestamp"),
-            series.alias("series_id"),
-            period.alias("period"),
-            value.cast(MEASURE).alias("value"),
-            _pick(UNITS, "l_partkey % 7").alias("units"),
-            _pick(LOCATIONS, "l_suppkey % 10").alias("location"),
-            location_type.alias("location_type"),
-            _pick(SOURCES, "l_orderkey % 9").alias("energy_source"),
-            sector.alias("sector"),
-            F.lit(None).cast("string").alias("raw_json"),
-        )
+    return shipped.selectExpr(
+        "((l_orderkey * 10 + l_linenumber) * 100000 + l_partkey) * 10000 + l_suppkey AS id",
+        "'EIA' AS source",
+        "CAST(shipped AS TIMESTAMP_NTZ) AS ingestion_timestamp",
+        """CASE WHEN l_partkey % 11 = 0 THEN 'elec.revenue.x'
+             WHEN l_returnflag = 'R' THEN 'ELEC.SALES.RES'
+             WHEN l_returnflag = 'A' THEN 'ELEC.GEN.ALL'
+             WHEN l_partkey % 3 = 1 THEN 'ELEC.GENERATION.ALL'
+             WHEN l_partkey % 3 = 2 THEN 'ELEC.CONSUMPTION.TOT' END AS series_id""",
+        """CASE l_orderkey % 50 WHEN 0 THEN substring(CAST(shipped AS STRING), 1, 4)
+             WHEN 1 THEN 'n/a' WHEN 2 THEN CAST(shipped AS STRING)
+             ELSE substring(CAST(shipped AS STRING), 1, 7) END AS period""",
+        """CASE l_partkey % 97 WHEN 0 THEN NULL WHEN 1 THEN -quantity
+             WHEN 2 THEN CAST(0 AS DECIMAL(18,4)) ELSE quantity END AS value""",
+        f"{_pick(UNITS, 'l_partkey % 7')} AS units",
+        f"{_pick(LOCATIONS, 'l_suppkey % 10')} AS location",
+        """CASE WHEN l_orderkey % 40 = 0 THEN 'mountain' WHEN l_orderkey % 40 = 1 THEN NULL
+             WHEN l_orderkey % 40 = 2 THEN 'Mountain' WHEN l_suppkey % 10 = 0 THEN 'national'
+             WHEN l_suppkey % 10 <= 4 THEN 'Region' ELSE 'state' END AS location_type""",
+        f"{_pick(SOURCES, 'l_orderkey % 9')} AS energy_source",
+        f"CASE WHEN l_linenumber <= 5 THEN {_pick(SECTORS, 'l_linenumber - 1')} END AS sector",
+        "CAST(NULL AS STRING) AS raw_json",
     )
 
 
 def raw_enrichment(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Many rows for the same period and location, as hourly appends leave them."""
-    order, cust = F.col("o_orderkey"), F.col("o_custkey")
-    ordered = F.col("ordered")
-    temperature = F.when(order % 53 != 0, (order % 2200) / 10 - 60).cast(MEASURE)
-    return (
-        read(spark, sf_dir, "orders")
-        .withColumn("ordered", _forward("o_orderdate"))
-        .select(
-            order.alias("id"),
-            F.lit("FastAPI").alias("source"),
-            ordered.cast("timestamp_ntz").alias("ingestion_timestamp"),
-            F.trunc(ordered, "MM").cast("string").alias("period"),
-            _pick(DIM_CODES, "o_custkey % 10").alias("location"),
-            temperature.alias("temperature_avg"),
-            F.when(temperature.isNotNull(), F.lit("fahrenheit")).alias("temperature_unit"),
-            F.when(order % 59 != 0, cust * 12345 % 20_000_000).alias("population"),
-            F.when(order % 7 != 0, 40_000 + cust % 60_000).cast(MEASURE).alias("gdp_per_capita"),
-            F.when(order % 13 != 0, 70 + order % 61)
-            .cast(MEASURE)
-            .alias("industrial_activity_index"),
-            F.lit(None).cast("string").alias("raw_json"),
-        )
+    rows = read(spark, sf_dir, "orders")
+    ordered = rows.selectExpr(
+        "o_orderkey", "o_custkey", f"{_forward('o_orderdate')} AS ordered",
+        """CASE WHEN o_orderkey % 53 <> 0
+             THEN CAST((o_orderkey % 2200) / 10 - 60 AS DECIMAL(18,4)) END AS temperature_avg""",
+    )
+    return ordered.selectExpr(
+        "o_orderkey AS id",
+        "'FastAPI' AS source",
+        "CAST(ordered AS TIMESTAMP_NTZ) AS ingestion_timestamp",
+        "CAST(trunc(ordered, 'MM') AS STRING) AS period",
+        f"{_pick(DIM_CODES, 'o_custkey % 10')} AS location",
+        "temperature_avg",
+        "CASE WHEN temperature_avg IS NOT NULL THEN 'fahrenheit' END AS temperature_unit",
+        "CASE WHEN o_orderkey % 59 <> 0 THEN o_custkey * 12345 % 20000000 END AS population",
+        """CAST(CASE WHEN o_orderkey % 7 <> 0 THEN 40000 + o_custkey % 60000 END
+             AS DECIMAL(18,4)) AS gdp_per_capita""",
+        """CAST(CASE WHEN o_orderkey % 13 <> 0 THEN 70 + o_orderkey % 61 END
+             AS DECIMAL(18,4)) AS industrial_activity_index""",
+        "CAST(NULL AS STRING) AS raw_json",
     )
 
 
@@ -152,9 +126,9 @@ def eia_record_texts(raw: DataFrame) -> DataFrame:
     is_first = F.coalesce(F.col("sector").isin("residential", "Commercial"), F.lit(False))
     text = F.when(is_first, first).otherwise(second)
     with_null = F.concat(F.expr("substring(text, 1, length(text) - 1)"), F.lit(',"location":null}'))
-    return raw.select(
-        "*", text.alias("text"), null_location.alias("null_location")
-    ).select("id", "value", F.when(F.col("null_location"), with_null).otherwise(F.col("text")).alias("text"))
+    texts = raw.select("id", "value", text.alias("text"), null_location.alias("null_location"))
+    sent = F.when(F.col("null_location"), with_null).otherwise(F.col("text"))
+    return texts.select("id", "value", sent.alias("text"))
 
 
 def eia_pages(raw: DataFrame) -> DataFrame:
