@@ -52,6 +52,9 @@ def test_combined_reads_the_raw_layer_once(landed):
     plan = executed(combined.combine(*landed))
     assert len(scans_of(plan, "eia")) == 1
     assert "CartesianProduct" not in plan and "NestedLoop" not in plan
+    # The enrichment is spread by salt and probes the small side without a sort.
+    join = next(line for line in plan.splitlines() if "ShuffledHashJoin" in line)
+    assert "_salt" in join and "LeftOuter, BuildLeft" in join
 
 
 def test_staging_is_one_stage(landed):

@@ -84,7 +84,9 @@ def left_join_fanout(
     spread = left.join(present, keys, "left").withColumn(
         "_salt", F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(-1))).otherwise(used))
     )
-    return spread.drop("_salts").join(salted, [*keys, "_salt"], "left").drop("_salt")
+    # Hash the left side, a few rows for each key and salt: the right side needs no sort.
+    few = spread.drop("_salts").hint("shuffle_hash")
+    return few.join(salted, [*keys, "_salt"], "left").drop("_salt")
 
 
 def latest_by(table: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

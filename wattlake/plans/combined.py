@@ -54,13 +54,13 @@ def join_raw(raw_eia: DataFrame) -> DataFrame:
     the consumption to each of them.
     """
     cube = aggregates.energy_cube(staging.tag_energy(raw_eia), "location_type")
-    kind = F.struct  # (kind, type, source, sector) of a row on either side
-    as_generation = kind(
-        F.lit("g").alias("kind"), "location_type", "energy_source", F.lit(None).cast("string").alias("sector"),
+    none = F.lit(None).cast("string")
+    as_generation = F.struct(
+        F.lit("g").alias("kind"), "location_type", "energy_source", none.alias("sector")
     )
-    as_consumption = kind(
-        F.lit("c").alias("kind"), F.lit(None).cast("string").alias("location_type"),
-        F.lit(None).cast("string").alias("energy_source"), "sector",
+    as_consumption = F.struct(
+        F.lit("c").alias("kind"), none.alias("location_type"), none.alias("energy_source"),
+        "sector",
     )
     sides = F.filter(
         F.array(
@@ -98,28 +98,37 @@ def join_raw(raw_eia: DataFrame) -> DataFrame:
     )
 
 
-def with_measures(joined: DataFrame) -> DataFrame:
-    """Percentages, ratios, per-capita values and flags (P17-P20) and the key (P10)."""
+def with_energy_measures(joined: DataFrame) -> DataFrame:
+    """Percentages, ratio and flag (P17, P18, P20) and the key (P10), all of them before the
+    enrichment join repeats the rows. Two location types of one place share the key."""
     generation, consumption = F.col("total_generation_mwh"), F.col("total_consumption_mwh")
+    return joined.withColumns(
+        {
+            "renewable_percentage": scalar.share_percent(
+                F.col("renewable_generation_mwh"), generation
+            ),
+            "fossil_percentage": scalar.share_percent(F.col("fossil_generation_mwh"), generation),
+            "generation_to_consumption_ratio": scalar.ratio_or_null(generation, consumption),
+            "has_consumption_data": consumption.isNotNull(),
+            "energy_combined_key": scalar.surrogate_key(F.col("period_date"), F.col("location")),
+        }
+    )
+
+
+def with_context_measures(enriched: DataFrame) -> DataFrame:
+    """Per-capita values and flag (P19, P20), which differ by enrichment row."""
     population = F.col("population")
-    return joined.select(
-        "*",
-        scalar.share_percent(F.col("renewable_generation_mwh"), generation).alias(
-            "renewable_percentage"
-        ),
-        scalar.share_percent(F.col("fossil_generation_mwh"), generation).alias(
-            "fossil_percentage"
-        ),
-        scalar.ratio_or_null(generation, consumption).alias("generation_to_consumption_ratio"),
-        scalar.per_million_people(generation, population).alias("generation_per_capita_mwh"),
-        scalar.per_million_people(consumption, population).alias("consumption_per_capita_mwh"),
-        consumption.isNotNull().alias("has_consumption_data"),
-        F.col("temperature_fahrenheit").isNotNull().alias("has_enrichment_data"),
-        # Two location types of one period and location share this key.
-        scalar.surrogate_key(F.col("period_date"), F.col("location")).alias(
-            "energy_combined_key"
-        ),
-    ).select(*OUTPUT_COLUMNS)
+    return enriched.withColumns(
+        {
+            "generation_per_capita_mwh": scalar.per_million_people(
+                F.col("total_generation_mwh"), population
+            ),
+            "consumption_per_capita_mwh": scalar.per_million_people(
+                F.col("total_consumption_mwh"), population
+            ),
+            "has_enrichment_data": F.col("temperature_fahrenheit").isNotNull(),
+        }
+    )
 
 
 def add_enrichment(joined: DataFrame, enrichment: DataFrame) -> DataFrame:
@@ -131,15 +140,19 @@ def add_enrichment(joined: DataFrame, enrichment: DataFrame) -> DataFrame:
     return joins.left_join_fanout(joined, context, KEYS, spread_by="source_id")
 
 
+def _finish(joined: DataFrame, enrichment: DataFrame) -> DataFrame:
+    enriched = add_enrichment(with_energy_measures(joined), enrichment)
+    return with_context_measures(enriched).select(*OUTPUT_COLUMNS)
+
+
 def combine_staged(
     generation: DataFrame, consumption: DataFrame, enrichment: DataFrame
 ) -> DataFrame:
-    return with_measures(add_enrichment(join_staged(generation, consumption), enrichment))
+    return _finish(join_staged(generation, consumption), enrichment)
 
 
 def combine(raw_eia: DataFrame, raw_enrichment: DataFrame) -> DataFrame:
-    enrichment = staging.stage_enrichment(raw_enrichment)
-    return with_measures(add_enrichment(join_raw(raw_eia), enrichment))
+    return _finish(join_raw(raw_eia), staging.stage_enrichment(raw_enrichment))
 
 
 SINK_ORDER = ["location", "location_type", "population", "temperature_fahrenheit"]
