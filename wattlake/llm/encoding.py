@@ -1,22 +1,56 @@
 """Ids of the tokenizers library with a memory for repeated chunks of text.
 
-A text is cut before each single space that stands between two other characters. No pre-token of
-the vocabularies used here reaches over such a cut, so the ids of a text are the ids of its chunks
-in order. The library encodes each chunk that the worker has not met yet; other chunks come from
-a dictionary of bounded size. Texts with two spaces in a row or a space at the end are given to
-the library as they are, since there a pre-token can hold several spaces.
+A text is cut where no pre-token of the vocabularies can reach over the cut, so the ids of a text
+are the ids of its chunks in order. The library encodes each chunk that the worker has not met
+yet; other chunks come from a dictionary of bounded size. Three ways to cut, each exact:
+
+* fine: before each space, around each newline, and before a point or comma that ends a word;
+* coarse, where such a point or comma does not follow a letter or digit, or white space meets a
+  newline: before each space;
+* whole, where two spaces meet or a space begins or ends the text: the library gets the text.
 """
 
 from __future__ import annotations
 
 import os
-import zlib
+import re
+
+import numpy as np
 
 from wattlake.llm.vocabularies import resolve
 
-MEMORY_ENTRIES = 1_000_000
-#: Chunks longer than this are encoded each time and never kept.
+MEMORY_ENTRIES = 1_200_000
+#: Longer chunks are encoded each time and never kept.
 LONGEST_KEPT = 64
+#: A special token of all these vocabularies; it parts chunks that are encoded in one call.
+PARTING = "<|endoftext|>"
+
+_CUT = "\0"
+#: Letters up to ɏ keep their kind when they are normalised, İ excepted.
+_PLAIN = "0-9A-Za-zÀ-ÖØ-öø-įı-ɏ"
+_UNSAFE = re.compile(rf"(?:^|[^{_PLAIN}])[.,](?:[ \n]|\Z)|\s\n|\n\s")
+_PLAIN_END = re.compile(rf"[{_PLAIN}]\Z")
+
+
+#: A point or comma behind a fine cut, and the text that it stands for.
+_POINTS = {".\1": ".", ",\1": ","}
+
+
+def _fine(text: str) -> list[str]:
+    marked = text.replace(" ", "\0 ").replace("\n", "\0\n\0") + _CUT
+    marked = marked.replace(".\0", "\2.\1\0").replace(",\0", "\2,\1\0")
+    return marked.replace("\2", _CUT).split(_CUT)[:-1]
+
+
+def _coarse(text: str) -> list[str]:
+    return text.replace(" ", "\0 ").split(_CUT)
+
+
+def _plain(chunk: str) -> bool:
+    """Whether every fine cut after this chunk is safe."""
+    return chunk == "\n" or (
+        bool(_PLAIN_END.search(chunk)) and (chunk[0] == " " or not chunk[0].isspace())
+    )
 
 
 class ChunkEncoder:
@@ -25,47 +59,89 @@ class ChunkEncoder:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(resolve(path))
-        self.known: dict[str, bytes] = {}
-
-    def _library(self, texts: list[str]) -> list[bytes]:
-        import numpy as np
-
-        out = []
-        for i in range(0, len(texts), 4096):
-            for found in self.tokenizer.encode_batch_fast(
-                texts[i : i + 4096], add_special_tokens=False
-            ):
-                out.append(np.asarray(found.ids, "<u4").tobytes())
+        self.parting_id = self.tokenizer.token_to_id(PARTING)
+        self.fine: dict[str, bytes | None] = {}
+        self.aside: dict[str, bytes] = {}
+        self.coarse: dict[str, bytes | None] = {}
+
+    def library(self, texts: list[str]) -> list[bytes]:
+        """What the library gives for each text by itself."""
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.asarray(f.ids, "<u4").tobytes() for f in found]
+
+    def _together(self, chunks: list[str]) -> list[bytes]:
+        """The same, with many chunks in one call, parted by a special token."""
+        if self.parting_id is None:
+            return self.library(chunks)
+        out: list[bytes] = []
+        for i in range(0, len(chunks), 1024):
+            some = chunks[i : i + 1024]
+            joined = PARTING.join(some)
+            if joined.count("<|") != len(some) - 1:
+                out += self.library(some)
+                continue
+            ids = np.asarray(
+                self.tokenizer.encode_batch_fast([joined], add_special_tokens=False)[0].ids, "<u4"
+            )
+            cuts = np.flatnonzero(ids == self.parting_id)
+            data = ids.tobytes()
+            begins = [0, *(4 * cuts + 4).tolist()]
+            ends = [*(4 * cuts).tolist(), len(data)]
+            out += [data[a:b] for a, b in zip(begins, ends, strict=True)]
         return out
 
+    def _learn(self, chunked: list[list[str]], known: dict, aside: dict) -> list[str]:
+        """Encode the chunks that are not known; those that are not plain go aside."""
+        missing = set().union(*chunked).difference(known)
+        if len(known) + len(missing) > MEMORY_ENTRIES:
+            known.clear()
+            aside.clear()
+            missing = set().union(*chunked)
+        for p in missing & _POINTS.keys():
+            known[p] = self.library([_POINTS[p]])[0]
+            missing.remove(p)
+        new = list(missing)
+        for p, ids in zip(new, self._together(new), strict=True):
+            if known is self.coarse or _plain(p):
+                known[p] = ids
+            else:
+                known[p], aside[p] = None, ids
+        return [p for p in new if len(p) > LONGEST_KEPT]
+
+    def _forget(self, chunks: list[str], known: dict, aside: dict) -> None:
+        for p in chunks:
+            del known[p]
+            aside.pop(p, None)
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Little-endian unsigned 32-bit ids of each text."""
-        whole = [i for i, t in enumerate(texts) if "  " in t or t[-1:] == " " or t[:1] == " "]
-        out: list[bytes | None] = [None] * len(texts)
-        for i, ids in zip(whole, self._library([texts[i] for i in whole]), strict=True):
+        out: list[bytes] = [b""] * len(texts)
+        whole, cut, again = [], [], []
+        for i, t in enumerate(texts):
+            odd = "  " in t or t[-1:] == " " or t[:1] == " " or "\0" in t or "\1" in t or "\2" in t
+            (whole if odd else cut).append(i)
+        known, aside = self.fine, self.aside
+        chunked = [_fine(texts[i]) for i in cut]
+        long = self._learn(chunked, known, aside)
+        for i, own in zip(cut, chunked, strict=True):
+            try:
+                out[i] = b"".join(map(known.__getitem__, own))
+            except TypeError:  # a chunk that is not plain
+                if _UNSAFE.search(texts[i]):
+                    again.append(i)
+                else:
+                    out[i] = b"".join([aside[p] if known[p] is None else known[p] for p in own])
+        self._forget(long, known, aside)
+        chunked = [_coarse(texts[i]) for i in again]
+        long = self._learn(chunked, self.coarse, {})
+        for i, own in zip(again, chunked, strict=True):
+            out[i] = b"".join([self.coarse[p] for p in own])
+        self._forget(long, self.coarse, {})
+        for i, ids in zip(whole, self.library([texts[i] for i in whole]), strict=True):
             out[i] = ids
-        pieces = [None if ids is not None else _chunks(t) for t, ids in zip(texts, out, strict=True)]
-        known = self.known
-        missing = list({p for own in pieces if own for p in own if p not in known})
-        if len(known) + len(missing) > MEMORY_ENTRIES:
-            known.clear()
-            missing = list({p for own in pieces if own for p in own})
-        known.update(zip(missing, self._library(missing), strict=True))
-        for i, own in enumerate(pieces):
-            if own is not None:
-                out[i] = b"".join([known[p] for p in own])
-        for p in missing:
-            if len(p) > LONGEST_KEPT:
-                del known[p]
         return out
 
 
-def _chunks(text: str) -> list[str]:
-    """The text cut before each space."""
-    parts = text.split(" ")
-    return [parts[0], *[" " + p for p in parts[1:]]] if parts[0] else [" " + p for p in parts[1:]]
-
-
 _encoders: dict[str, ChunkEncoder] = {}
 
 
@@ -74,7 +150,3 @@ def encoder(path: str) -> ChunkEncoder:
     if path not in _encoders:
         _encoders[path] = ChunkEncoder(path)
     return _encoders[path]
-
-
-def crc32(ids: bytes) -> int:
-    return zlib.crc32(ids)

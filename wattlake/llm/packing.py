@@ -186,28 +186,16 @@ def cut(
     )
 
 
-def pack(
-    spark: SparkSession,
-    docs: DataFrame,
-    vocabulary: str = "byte_bpe_50k.json",
-    capacity: int = 1024,
-    end_id: int = 2,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-) -> DataFrame:
-    """Pieces with their place: doc_id, piece, start, length, ids, sequence_id, offset.
-
-    Pieces are written once under the shared work folder; the plan reads only their lengths. A
-    null or empty text is the end id alone. Repeated rows are packed as often as they occur; an
-    empty table gives no rows; other columns are not read. The numbers of sequences depend on
-    how Spark has cut the input, the number of sequences does not.
-    """
+def written_pieces(spark: SparkSession, docs: DataFrame, **options) -> DataFrame:
+    """cut() with the pieces written under the shared work folder, so that no text is encoded
+    twice and ranks stay as they are when a task is lost."""
     path = f"{work_folder(spark, 'pieces')}/pieces"
-    cut(docs, vocabulary, capacity, end_id, id_col, text_col).write.option(
-        "compression", "zstd"
-    ).parquet(path)
-    pieces = spark.read.parquet(path)
+    cut(docs, **options).write.option("compression", "zstd").parquet(path)
+    return spark.read.parquet(path)
+
 
+def place(spark: SparkSession, pieces: DataFrame, capacity: int) -> DataFrame:
+    """Give each piece its sequence_id and offset. Further columns go along unread."""
     counts = pieces.groupBy("partition", "length").agg(F.count("*").alias("n"))
     # One row for each length: at most `capacity` rows.
     lengths = {r["length"]: r["n"] for r in counts.groupBy("length").agg(F.sum("n").alias("n")).collect()}
@@ -227,12 +215,9 @@ def pack(
     placed = ranked.join(F.broadcast(runs), "length").where(
         (F.col("rank") >= F.col("rank_0")) & (number < F.col("n"))
     )
+    carried = [c for c in pieces.columns if c not in ("partition", "local_rank")]
     return placed.select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        "ids",
+        *carried,
         (F.col("sequence_0") + number % F.col("across")).alias("sequence_id"),
         (
             F.col("offset_0") + F.floor(number / F.col("across")).cast("long") * F.col("length")
@@ -240,6 +225,37 @@ def pack(
     )
 
 
+def pack(
+    spark: SparkSession,
+    docs: DataFrame,
+    vocabulary: str = "byte_bpe_50k.json",
+    capacity: int = 1024,
+    end_id: int = 2,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    digest: bool = False,
+) -> DataFrame:
+    """Pieces with their place: doc_id, piece, start, length, ids, sequence_id, offset.
+
+    With ``digest`` the crc32 of the stored ids, ids_crc32, takes the place of the ids before
+    anything is shuffled. A null or empty text is the end id alone. Repeated rows are packed as
+    often as they occur; an empty table gives no rows; other columns are not read. The numbers of
+    sequences depend on how Spark has cut the input, the number of sequences does not.
+    """
+    pieces = written_pieces(
+        spark,
+        docs,
+        vocabulary=vocabulary,
+        capacity=capacity,
+        end_id=end_id,
+        id_col=id_col,
+        text_col=text_col,
+    )
+    if digest:
+        pieces = pieces.withColumn("ids_crc32", F.crc32("ids")).drop("ids")
+    return place(spark, pieces, capacity)
+
+
 def sequences(packed: DataFrame) -> DataFrame:
     """The packed sequences themselves: sequence_id, length, ids, doc_ids in order of offset.
 

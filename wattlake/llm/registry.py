@@ -30,16 +30,7 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 @query("op2_best_fit_packing")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
-    packed = packing.pack(spark, table(spark, sf_dir, "documents"))
-    return packed.select(
-        "doc_id",
-        "piece",
-        "start",
-        "length",
-        F.crc32("ids").alias("ids_crc32"),
-        "sequence_id",
-        "offset",
-    )
+    return packing.pack(spark, table(spark, sf_dir, "documents"), digest=True)
 
 
 @query("op3_token_counts")
