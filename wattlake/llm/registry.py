@@ -7,7 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm import packing, token_count, token_files
+from wattlake.llm import (
+    decontaminate,
+    jaccard_join,
+    licences,
+    line_quality,
+    packing,
+    token_count,
+    token_files,
+)
 from wattlake.session import work_folder
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -24,6 +32,11 @@ def query(name: str, sql: str | None = None):
     return register
 
 
+_LOWER = "translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+_WORDS = rf"regexp_extract_all({_LOWER}, '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"
+_TOKEN = r"[^\x20\x09-\x0D]+"
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -45,3 +58,145 @@ def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.read(spark, path).select(
         "doc_id", "start", "n_tokens", F.crc32("ids").alias("ids_crc32")
     )
+
+
+@query(
+    "op5_decontamination",
+    f"""
+WITH d AS (SELECT doc_id, {_WORDS} AS w FROM documents),
+b AS (SELECT CAST(item_id AS VARCHAR) AS item, {_WORDS} AS w FROM benchmark),
+win AS (
+  SELECT DISTINCT item, len(w[s:s + 9]) AS n, array_to_string(w[s:s + 9], ' ') AS k
+  FROM b, unnest(range(1, greatest(len(w) - 9, 1) + 1)) AS t(s) WHERE len(w) > 0
+),
+hit AS (
+  SELECT DISTINCT x.doc_id, x.s, x.n, win.item
+  FROM (
+    SELECT doc_id, s, n, array_to_string(w[s:s + n - 1], ' ') AS k
+    FROM d, (SELECT DISTINCT n FROM win) AS sizes, unnest(range(1, len(w) - n + 2)) AS t(s)
+  ) AS x JOIN win ON win.n = x.n AND win.k = x.k
+),
+covered AS (
+  SELECT doc_id, count(DISTINCT p) AS n_hit
+  FROM (SELECT doc_id, unnest(range(s, s + n)) AS p FROM hit) GROUP BY doc_id
+),
+found AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(item, ',' ORDER BY item) AS items
+  FROM (SELECT DISTINCT doc_id, item FROM hit) GROUP BY doc_id
+)
+SELECT d.doc_id, CAST(len(d.w) AS BIGINT) AS n_words,
+  CAST(coalesce(n_hit, 0) AS BIGINT) AS n_hit, CAST(coalesce(n_items, 0) AS BIGINT) AS n_items,
+  sha256(coalesce(items, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM d LEFT JOIN covered USING (doc_id) LEFT JOIN found USING (doc_id)
+""",
+)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = decontaminate.decontaminate(
+        table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")
+    )
+    return found.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        "n_items",
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"),
+        "contaminated",
+    )
+
+
+@query("op7_jaccard_join")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_duplicates(spark, table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op8_quality_rules",
+    f"""
+WITH d AS (
+  SELECT doc_id, coalesce(source, '') AS host, coalesce(text, '') AS text,
+    regexp_extract_all(coalesce(text, ''), '{_TOKEN}') AS w FROM documents
+),
+windows AS (
+  SELECT doc_id, s, count(*) OVER (PARTITION BY doc_id, w[s], w[s + 1], w[s + 2]) AS n
+  FROM d, unnest(range(1, len(w) - 1)) AS t(s)
+),
+repeats AS (
+  SELECT doc_id, count(DISTINCT p) AS n_repeat_words
+  FROM (SELECT doc_id, unnest([s, s + 1, s + 2]) AS p FROM windows WHERE n > 1) GROUP BY doc_id
+),
+raw_lines AS (
+  SELECT doc_id, host, line, array_to_string(regexp_extract_all(
+    translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '{_TOKEN}'), ' ') AS norm,
+    len(regexp_extract_all(line, '{_TOKEN}')) AS n
+  FROM (SELECT doc_id, host, unnest(string_split(text, chr(10))) AS line FROM d)
+  WHERE regexp_matches(line, '{_TOKEN}')
+),
+dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw_lines GROUP BY doc_id),
+lines AS (SELECT doc_id, host, norm, sum(n) AS n FROM raw_lines GROUP BY ALL),
+common AS (
+  SELECT host, norm FROM lines JOIN (SELECT host, count(*) AS host_docs FROM d GROUP BY host) USING (host)
+  GROUP BY host, norm HAVING count(*) >= 20 AND 100 * count(*) > 20 * any_value(host_docs)
+),
+removed AS (SELECT doc_id, sum(n) AS removed FROM lines JOIN common USING (host, norm) GROUP BY doc_id),
+figures AS (
+  SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
+    CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+    CAST(length(text) - length(regexp_replace(text, '[#*$%&|<>]', '', 'g')) AS BIGINT) AS n_symbols,
+    CAST(coalesce(n_dup_lines, 0) AS BIGINT) AS n_dup_lines,
+    CAST(coalesce(n_repeat_words, 0) AS BIGINT) AS n_repeat_words,
+    CAST(coalesce(removed, 0) AS BIGINT) AS removed_words
+  FROM d LEFT JOIN repeats USING (doc_id) LEFT JOIN dups USING (doc_id) LEFT JOIN removed USING (doc_id)
+)
+SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
+  NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
+    AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
+FROM figures
+""",
+)
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return line_quality.judge(spark, table(spark, sf_dir, "documents"))
+
+
+def _licence_rows() -> str:
+    quote = lambda s: "'" + s.replace("'", "''") + "'"
+    return ", ".join(
+        f"({i}, {quote(licence)}, {quote(text)})" for i, (licence, text) in enumerate(licences.TEMPLATES)
+    )
+
+
+@query(
+    "op10_licence_scan",
+    f"""
+WITH t AS (SELECT * FROM (VALUES {_licence_rows()}) AS v(template, licence, text)),
+u AS (
+  SELECT DISTINCT doc_id, text AS unit FROM (
+    SELECT doc_id, unnest(list_append(string_split(coalesce(text, ''), chr(10)), coalesce(text, ''))) AS text
+    FROM documents)
+),
+tw AS (SELECT template, licence, {_WORDS} AS w FROM t),
+tb AS (SELECT DISTINCT template, licence, w[i] || ' ' || w[i + 1] AS bigram
+  FROM tw, unnest(range(1, len(w))) AS s(i)),
+uw AS (SELECT doc_id, unit, {_WORDS.replace("text", "unit")} AS w FROM u),
+ub AS (SELECT DISTINCT doc_id, unit, w[i] || ' ' || w[i + 1] AS bigram
+  FROM uw, unnest(range(1, len(w))) AS s(i)),
+us AS (SELECT doc_id, unit, count(*) AS m FROM ub GROUP BY doc_id, unit),
+ts AS (SELECT template, count(*) AS n FROM tb GROUP BY template),
+found AS (
+  SELECT doc_id, unit, template, licence, count(*) AS shared FROM ub JOIN tb USING (bigram) GROUP BY ALL
+),
+scored AS (
+  SELECT doc_id, unit, licence, 2.0 * CAST(shared AS DOUBLE) / (m + n) AS dice
+  FROM found JOIN us USING (doc_id, unit) JOIN ts USING (template) WHERE 200 * shared >= 80 * (m + n)
+),
+best AS (
+  SELECT doc_id, count(DISTINCT unit) AS n_units,
+    array_to_string(list_sort(list(DISTINCT licence)), ',') AS licences, max(dice) AS best_dice
+  FROM scored GROUP BY doc_id
+)
+SELECT DISTINCT d.doc_id, CAST(coalesce(n_units, 0) AS BIGINT) AS n_units, coalesce(licences, '') AS licences,
+  coalesce(best_dice, 0.0) AS best_dice
+FROM documents AS d LEFT JOIN best USING (doc_id)
+""",
+)
+def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return licences.scan(spark, table(spark, sf_dir, "documents"))

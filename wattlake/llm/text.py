@@ -56,6 +56,7 @@ class Words:
     data: bytes of all texts, each followed by one newline byte. start, end: byte positions of
     each word. first: for each text the number of its first word, with the total at the end.
     hashes: of each word. text_start: byte position of each text, with the total at the end.
+    sums: prefix sums from which hashes_of() makes the hash of any stretch of bytes.
     """
 
     data: np.ndarray
@@ -64,6 +65,12 @@ class Words:
     first: np.ndarray
     hashes: np.ndarray
     text_start: np.ndarray
+    sums: np.ndarray
+
+    def hashes_of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Hashes of the stretches start <= byte < end."""
+        back = _power_table(_INVERSE, len(self.data) + 1)
+        return mix((self.sums[end] - self.sums[start]) * back[start])
 
 
 def words_of(texts: list[bytes], lower: bool) -> Words:
@@ -81,8 +88,9 @@ def words_of(texts: list[bytes], lower: bool) -> Words:
     first = np.searchsorted(start, text_start)
     sums = np.zeros(len(data) + 1, np.uint64)
     np.cumsum(_VALUES[data] * _power_table(_BASE, len(data)), out=sums[1:])
-    hashes = mix((sums[end] - sums[start]) * _power_table(_INVERSE, len(data) + 1)[start])
-    return Words(data, start, end, first, hashes, text_start)
+    words = Words(data, start, end, first, np.zeros(0, np.uint64), text_start, sums)
+    words.hashes = words.hashes_of(start, end)
+    return words
 
 
 def combine(*parts: np.ndarray) -> np.ndarray:
