@@ -8,12 +8,15 @@ and one with e = 1 by its subset and all subsets with one shingle deleted. How m
 each kind a band has is chosen by cost: rows to index against the candidates that equal subsets
 of unrelated sets would make, given the number of sets in the band.
 
-Equal sets are one node. Candidates of one index key are never paired with each other at large:
-every node is first compared with one pivot, the node that shares most of its keys with it as
-the least node of a key. Keys whose nodes are then in one component are done; for the others the
-number of pivots grows four-fold in each round, until no pair of a key lies in two components
-without having been compared. So the components are those of all links, and a group of k near
-copies costs about k comparisons.
+Equal sets are one node. The nodes of a key are not paired with each other. Each key has a pivot,
+the node that shares most keys with others, and the nodes of all keys of a pivot are its group; two
+linked nodes share a key, so they share a group. Every node is compared with one pivot; in groups
+that are still in several components, with a second one out of the rest. What is left then are
+groups of texts that resemble a common source but not each other. They are dealt in blocks, and in
+each pair of blocks nodes of different components are held against each other by a bit for each
+parity of hashed shingles: as many bits differ at most as shingles do. Only pairs that pass this
+bound leave the task, and are verified like all others by their whole sets. So no link between
+components is lost, and no pairs of a large group are emitted.
 """
 
 from __future__ import annotations
@@ -24,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.arrow import id_and_text
@@ -35,6 +38,9 @@ from wattlake.session import work_folder
 BAND_RATIO = 0.65
 #: Most ids that are sent to all executors (8 bytes each); beyond, Spark shuffles.
 BROADCAST_IDS = 1_000_000
+#: Nodes of a block and most blocks of a group; beyond, blocks grow.
+BLOCK_NODES = 64
+MOST_BLOCKS = 40
 
 
 @dataclass(frozen=True)
@@ -216,17 +222,112 @@ def _index(docs: DataFrame, size: int, percent: int, bands: list[Band]) -> DataF
     return _map_sets(docs, size, "key long, node long", each, dedupe=True)
 
 
+def sketch_words(size: int) -> int:
+    """64-bit words of a parity sketch: a power of two with more bits than twice the size."""
+    return 1 << max(3, math.ceil(math.log2(max(size, 1) / 32)))
+
+
+def sketch(members: np.ndarray) -> np.ndarray:
+    """Parities of a set's hashes. Folding its halves by xor gives the sketch of half the bits."""
+    bits = 64 * sketch_words(len(members))
+    place = (mix(members ^ np.uint64(0x243F6A8885A308D3)) & np.uint64(bits - 1)).astype(np.int64)
+    return np.packbits(np.bincount(place, minlength=bits) & 1, bitorder="little").view(np.uint64)
+
+
+def fold(one: np.ndarray, words: int) -> np.ndarray:
+    while len(one) > words:
+        half = len(one) // 2
+        one = one[:half] ^ one[half:]
+    return one
+
+
 def _members(docs: DataFrame, size: int) -> DataFrame:
-    """node and its sorted shingles, as bytes."""
+    """node, the size of its set, its sorted shingles and their sketch, as bytes."""
 
     def each(ids, values, begins, nodes, pick):
-        data = values.tobytes()
+        sets = [values[begins[i] : begins[i + 1]] for i in pick]
         yield [
             pa.array(nodes[pick], pa.int64()),
-            pa.array([data[8 * begins[i] : 8 * begins[i + 1]] for i in pick], pa.binary()),
+            pa.array([len(x) for x in sets], pa.int64()),
+            pa.array([x.tobytes() for x in sets], pa.binary()),
+            pa.array([sketch(x).tobytes() for x in sets], pa.binary()),
         ]
 
-    return _map_sets(docs, size, "node long, members binary", each)
+    return _map_sets(docs, size, "node long, size long, members binary, sketch binary", each)
+
+
+def _near_in_blocks(nodes: DataFrame, percent: int) -> DataFrame:
+    """Pairs a, b of nodes of one group in different parts that may be linked by their sketches.
+
+    nodes: pivot, node, part, size, sketch, n (nodes of the group).
+    """
+    blocks = F.least(F.ceil(F.col("n") / BLOCK_NODES), F.lit(MOST_BLOCKS)).cast("int")
+    own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")
+    dealt = (
+        nodes.withColumn("blocks", blocks)
+        .withColumn("own", own)
+        .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        .select(
+            "pivot",
+            F.least("own", "other").alias("i"),
+            F.greatest("own", "other").alias("j"),
+            (F.col("own") <= F.col("other")).alias("left"),
+            "node",
+            "part",
+            "size",
+            "sketch",
+        )
+        .repartition("pivot", "i", "j")
+        .sortWithinPartitions("pivot", "i", "j")
+    )
+
+    def pairs(rows: list[tuple]) -> list[tuple[int, int]]:
+        words = min(len(r[7]) for r in rows) // 8
+        bits = np.array([fold(np.frombuffer(r[7], np.uint64), words) for r in rows])
+        node = np.array([r[4] for r in rows])
+        part = np.unique(np.array([r[5] for r in rows]), return_inverse=True)[1]
+        size = np.array([r[6] for r in rows])
+        same = rows[0][1] == rows[0][2]
+        left = np.flatnonzero([r[3] for r in rows])
+        right = left if same else np.flatnonzero([not r[3] for r in rows])
+        if not len(right):
+            return []
+        out = []
+        step = max(1, (1 << 20) // len(right))
+        for k in range(0, len(left), step):
+            at = left[k : k + step]
+            apart = np.zeros((len(at), len(right)), np.int32)
+            for w in range(words):
+                apart += np.bitwise_count(bits[at, w][:, None] ^ bits[right, w][None, :])
+            total = size[at][:, None] + size[right][None, :]
+            near = (100 + percent) * apart <= (100 - percent) * total
+            near &= part[at][:, None] != part[right][None, :]
+            if same:
+                near &= node[at][:, None] < node[right][None, :]
+            x, y = np.nonzero(near)
+            out += zip(node[at[x]].tolist(), node[right[y]].tolist(), strict=True)
+        return out
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[tuple] = []
+
+        def found() -> pa.RecordBatch:
+            some = pairs(waiting) if len(waiting) > 1 else []
+            return pa.RecordBatch.from_arrays(
+                [pa.array([min(p) for p in some], pa.int64()), pa.array([max(p) for p in some], pa.int64())],
+                names=["a", "b"],
+            )
+
+        for batch in batches:
+            for row in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if waiting and row[:3] != waiting[0][:3]:
+                    yield found()
+                    waiting.clear()
+                waiting.append(row)
+        if waiting:
+            yield found()
+
+    return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
 def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
@@ -332,57 +433,53 @@ def near_duplicates(
     bands = [allocate(a, b, held.get(b, 0), percent) for a, b in limits]
 
     index = _index(source, shingle_words, percent, bands)
-    pivots = (
+    shared = (
         index.groupBy("key")
-        .agg(F.min("node").alias("pivot"), F.max("node").alias("last"))
-        .where("pivot < last")
-        .select("key", "pivot")
+        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
+        .where("low < high")
+        .select("key", "n")
     )
     # Only keys with two sets or more are kept.
-    buckets = store(index.join(pivots, "key").distinct())
+    buckets = store(index.join(shared, "key").distinct())
+    weight = store(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
+    pivots = (
+        buckets.join(weight, "node")
+        .groupBy("key")
+        .agg(F.max(F.struct("weight", "node")).alias("best"))
+        .select("key", F.col("best.node").alias("pivot"))
+    )
+    groups = store(
+        buckets.join(pivots, "key").groupBy("pivot", "node").agg(F.count("*").alias("keys"))
+    )
+    members = store(_candidate_members(spark, source, buckets, nodes, shingle_words))
+
     first = (
-        buckets.where("node <> pivot")
-        .groupBy("node", "pivot")
-        .agg(F.count("*").alias("keys"))
+        groups.where("node <> pivot")
         .groupBy(F.col("node").alias("b"))
-        .agg(F.max(F.struct("keys", F.bitwise_not("pivot").alias("other"))).alias("best"))
-        .select(F.bitwise_not("best.other").alias("a"), "b")
+        .agg(F.max(F.struct("keys", "pivot")).alias("best"))
+        .select(F.col("best.pivot").alias("a"), "b")
     )
-    members = store(_candidate_members(spark, source, buckets, nodes, shingle_words))
     checked = store(_linked(first, members, percent))
-    limit = 1
-    while True:
-        linked = components(store, checked.where("linked"), nodes)
-        placed = buckets.join(linked, "node", "left").select(
-            "key", "node", F.coalesce(F.col("label").cast("string"), F.concat(F.lit("-"), "node")).alias("part")
-        )
-        parted = (
-            placed.groupBy("key")
-            .agg(F.min("part").alias("low"), F.max("part").alias("high"), F.count("*").alias("n"))
-            .where("low < high")
-        )
-        open_keys = store(placed.join(parted.select("key", "n"), "key"))
-        largest_key = open_keys.agg(F.max("n")).first()[0]
-        if largest_key is None:
-            break
-        limit *= 4
-        ranked = open_keys.withColumn(
-            "rank", F.row_number().over(Window.partitionBy("key").orderBy("part", "node"))
-        )
-        pivots = ranked.where(F.col("rank") <= limit).select(
-            "key", F.col("node").alias("a"), F.col("part").alias("a_part")
-        )
-        wanted = (
-            open_keys.join(pivots, "key")
-            .where("part <> a_part")
-            .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
-            .distinct()
-        )
-        known = checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"))
-        fresh = store(_linked(wanted.join(known, ["a", "b"], "left_anti"), members, percent))
-        checked = store(checked.unionByName(fresh))
-        if limit >= largest_key:  # every pair across components of a key has been compared
-            break
+
+    rest = store(_open_groups(groups, components(store, checked.where("linked"), nodes)))
+    seconds = (
+        rest.where("part <> pivot_part")
+        .join(weight, "node")
+        .groupBy("pivot")
+        .agg(F.max(F.struct("weight", "node", "part")).alias("best"))
+        .select("pivot", F.col("best.node").alias("a"), F.col("best.part").alias("a_part"))
+    )
+    more = (
+        rest.join(seconds, "pivot")
+        .where("part <> a_part")
+        .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
+        .distinct()
+    )
+    checked = store(checked.unionByName(_linked(more, members, percent)))
+
+    rest = _open_groups(groups, components(store, checked.where("linked"), nodes))
+    near = _near_in_blocks(rest.join(members.drop("members"), "node"), percent)
+    checked = store(checked.unionByName(_linked(near, members, percent)))
 
     linked = components(store, checked.where("linked"), nodes).withColumnRenamed("label", "reached")
     names = nodes.join(linked, "node", "left").select(
@@ -401,6 +498,26 @@ def near_duplicates(
     )
 
 
+def _open_groups(groups: DataFrame, linked: DataFrame) -> DataFrame:
+    """Nodes of the groups that are still in several components: pivot, node, part (the label of
+    its component, or the node itself), pivot_part, n (nodes of the group)."""
+    alone = F.concat(F.lit("node "), "node")
+    part = F.coalesce(F.concat(F.lit("label "), F.col("label").cast("string")), alone)
+    placed = groups.join(linked, "node", "left").select("pivot", "node", part.alias("part"))
+    parted = (
+        placed.groupBy("pivot")
+        .agg(
+            F.min("part").alias("low"),
+            F.max("part").alias("high"),
+            F.max(F.when(F.col("node") == F.col("pivot"), F.col("part"))).alias("pivot_part"),
+            F.count("*").alias("n"),
+        )
+        .where("low < high")
+        .drop("low", "high")
+    )
+    return placed.join(parted, "pivot")
+
+
 def _candidate_members(
     spark: SparkSession, source: DataFrame, buckets: DataFrame, nodes: DataFrame, size: int
 ) -> DataFrame:
