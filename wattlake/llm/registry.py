@@ -13,6 +13,7 @@ from wattlake.llm import (
     licences,
     line_quality,
     packing,
+    suffix_tree,
     token_count,
     token_files,
 )
@@ -200,3 +201,8 @@ FROM documents AS d LEFT JOIN best USING (doc_id)
 )
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return licences.scan(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op6_suffix_tree_scores")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return suffix_tree.score(spark, table(spark, sf_dir, "documents"))
