@@ -13,6 +13,7 @@ from wattlake.llm import (
     licences,
     line_quality,
     packing,
+    pii,
     suffix_tree,
     token_count,
     token_files,
@@ -206,3 +207,19 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op6_suffix_tree_scores")
 def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_tree.score(spark, table(spark, sf_dir, "documents"))
+
+
+@query("op1_personal_data")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(spark, table(spark, sf_dir, "documents"))
+    text = lambda spans: F.array_join(
+        F.transform(spans, lambda s: F.concat_ws(":", s["kind"], s["start"], s["end"])), ","
+    )
+    count = lambda kind: F.size(F.filter("base", lambda s: s["kind"] == kind)).cast("long")
+    return found.select(
+        "doc_id",
+        *(count(kind).alias(f"n_{kind}") for kind in pii.KINDS),
+        F.sha2(text(F.col("base")), 256).alias("base_sha256"),
+        text(F.col("spans")).alias("spans"),
+        (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
+    )
