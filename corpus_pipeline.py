@@ -1,16 +1,73 @@
-"""A corpus pipeline out of the operators in wattlake.llm; see STAGES."""
+"""From raw documents to packed training sequences, with the operators of wattlake.llm.
+
+Stages run one after the other, each on all that the one before has kept. A document is known by
+its doc_id: rows that repeat an id go or stay together. All columns of documents go along.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from wattlake.llm import decontaminate, jaccard_join, line_quality, packing, pii
+from wattlake.session import work_folder
+
+#: Most ids that are sent to all executors to drop their documents; beyond, Spark shuffles.
+BROADCAST_IDS = 1_000_000
+
+
+def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
+    """Documents whose id is not among the dropped ones."""
+    ids = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
+    if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
+        ids = F.broadcast(ids)
+    return docs.join(ids, docs["doc_id"].eqNullSafe(ids["dropped_id"]), "left_anti")
+
+
+def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops repetitive, short and depleted documents."""
+    return _without(docs, line_quality.judge(spark, docs).where("NOT kept"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Keeps the document with the least id of each group of near copies."""
+    found = jaccard_join.near_duplicates(spark, docs)
+    return _without(docs, found.where("component_id <> doc_id"))
+
+
+def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Drops documents that hold a window of a benchmark item."""
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    return _without(docs, decontaminate.decontaminate(docs, items).where("contaminated"))
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Replaces personal data by the name of its kind; n_chars follows."""
+    return pii.find(spark, docs, masked=tuple(docs.columns))
+
+
+def best_fit_packing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids of all pieces with their place in the packed sequences."""
+    return packing.pack(spark, docs)
+
+
+STAGES = [
+    ("quality rules", quality_rules),
+    ("n-gram Jaccard join", near_duplicates),
+    ("benchmark decontamination", decontamination),
+    ("PII", personal_data),
+    ("best-fit packing", best_fit_packing),
+]
 
-STAGES: list = []
+# SQL has neither the hashing of the join at whole size, nor the model, nor the tokenizer.
 ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Apply all stages to documents."""
+    """Apply all stages to documents; each result is written and read again by the next."""
+    folder = work_folder(spark, "pipeline")
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+    for number, (_, stage) in enumerate(STAGES):
+        stage(spark, docs, sf_dir).write.parquet(f"{folder}/{number}")
+        docs = spark.read.parquet(f"{folder}/{number}")
     return docs

@@ -12,7 +12,7 @@ passes the check of its kind and overlaps no base span of that kind.
 
 from __future__ import annotations
 
-import hashlib
+import bisect
 import re
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -85,10 +85,6 @@ def base_spans(text: str) -> list[Span]:
     return out
 
 
-def joined(spans: list[Span]) -> str:
-    return ",".join(f"{KINDS[k]}:{a}:{b}" for k, a, b in spans)
-
-
 # Classes of characters: one for each mark that spans are made of, and for digits, small and
 # capital letters, line breaks, other ASCII, and all else.
 _MARKS = " .-+()@%_,:"
@@ -419,11 +415,29 @@ class Decoder:
         return [reconcile(f) for f in found]
 
 
+class _Taken:
+    """Stretches of one kind that do not overlap, in order."""
+
+    def __init__(self, stretches: list[tuple[int, int]] = ()) -> None:
+        self.starts = sorted(a for a, _ in stretches)
+        self.end = dict(stretches)
+
+    def meets(self, a: int, b: int) -> bool:
+        i = bisect.bisect_left(self.starts, b) - 1
+        return i >= 0 and self.end[self.starts[i]] > a
+
+    def add(self, a: int, b: int) -> None:
+        bisect.insort(self.starts, a)
+        self.end[a] = b
+
+
 def reconcile(spans: set[Span]) -> list[Span]:
     """Spans of one kind that overlap: the longest stays, of equal ones the first."""
     kept: list[Span] = []
+    taken = [_Taken() for _ in KINDS]
     for k, a, b in sorted(spans, key=lambda s: (s[1] - s[2], s[1], s[0])):
-        if all(k != x or b <= c or a >= d for x, c, d in kept):
+        if not taken[k].meets(a, b):
+            taken[k].add(a, b)
             kept.append((k, a, b))
     return sorted(kept)
 
@@ -431,6 +445,7 @@ def reconcile(spans: set[Span]) -> list[Span]:
 def added(text: str, base: list[Span], model: list[Span]) -> list[Span]:
     """Spans of the model that pass their check and overlap no base span of their kind."""
     out = []
+    taken = [_Taken([(a, b) for x, a, b in base if x == k]) for k in range(len(KINDS))]
     for k, a, b in model:
         while a < b and not (text[a].isalnum() or (k == 3 and text[a] == "+")):
             a += 1
@@ -439,7 +454,7 @@ def added(text: str, base: list[Span], model: list[Span]) -> list[Span]:
         match = text[a:b]
         if not _WHOLE[KINDS[k]].fullmatch(match) or not passes(KINDS[k], match):
             continue
-        if all(k != x or b <= c or a >= d for x, c, d in base):
+        if not taken[k].meets(a, b):
             out.append((k, a, b))
     return out
 
@@ -570,6 +585,3 @@ def _by_size(batch: pa.RecordBatch, column: str) -> Iterator[pa.RecordBatch]:
             total += n
         yield part.slice(begin)
 
-
-def digest(base: list[Span]) -> str:
-    return hashlib.sha256(joined(base).encode()).hexdigest()

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from wattlake.llm import (
     decontaminate,
+    importance,
     jaccard_join,
     licences,
     line_quality,
@@ -223,3 +224,13 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
         text(F.col("spans")).alias("spans"),
         (F.size("spans") - F.size("base")).cast("long").alias("n_added"),
     )
+
+
+@query("op9_importance_resampling")
+def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return importance.resample(
+        spark,
+        table(spark, sf_dir, "documents"),
+        table(spark, sf_dir, "labels"),
+        (F.col("quality") == 1) & (F.col("toxic") == 0),
+    )
