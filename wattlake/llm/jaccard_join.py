@@ -134,10 +134,19 @@ def set_ids(values: np.ndarray, begins: np.ndarray) -> np.ndarray:
     ).view(np.int64)
 
 
-def keys_of(values: np.ndarray, begins: np.ndarray, band: Band, number: int) -> tuple[np.ndarray, np.ndarray]:
-    """Index keys of sets under a band: keys and the number of the set of each."""
+def keys_of(
+    values: np.ndarray, begins: np.ndarray, band: Band, number: int, percent: int
+) -> tuple[np.ndarray, np.ndarray]:
+    """Index keys of sets under a band: keys and the number of the set of each.
+
+    A set is indexed by the first segments only whose allowances suffice for its own largest
+    partner; of two linked sets the larger is indexed by all segments of the smaller.
+    """
     n = len(begins) - 1
     segments = band.exact + band.deletion
+    sizes = np.diff(begins)
+    need = (100 - percent) * (sizes + 100 * sizes // percent) // (100 + percent) + 1
+    used = np.where(need <= 2 * band.deletion, -(-need // 2), need - band.deletion)
     owner = np.repeat(np.arange(n), np.diff(begins))
     salted = mix(values + np.uint64((number + 1) * 0x9E3779B97F4A7C15 % 2**64))
     segment = ((salted >> np.uint64(33)) % np.uint64(segments)).astype(np.int64)
@@ -155,9 +164,10 @@ def keys_of(values: np.ndarray, begins: np.ndarray, band: Band, number: int) ->
         return mix(mix(a * np.uint64(0x9E3779B97F4A7C15) + b) + mix(place + np.uint64(1)))
 
     every = np.arange(cells)
-    keys, sets = [key(sum_low, sum_high, every % segments)], [every // segments]
+    every = every[every % segments < used[every // segments]]
+    keys, sets = [key(sum_low[every], sum_high[every], every % segments)], [every // segments]
     if band.deletion:
-        some = segment < band.deletion
+        some = segment < np.minimum(band.deletion, used)[owner]
         c = cell[some]
         keys.append(
             key(
@@ -216,7 +226,7 @@ def _index(docs: DataFrame, size: int, percent: int, bands: list[Band]) -> DataF
                 continue
             cuts = np.concatenate([[0], np.cumsum(begins[at + 1] - begins[at])])
             some = np.concatenate([values[begins[i] : begins[i + 1]] for i in at])
-            keys, sets = keys_of(some, cuts, band, number)
+            keys, sets = keys_of(some, cuts, band, number, percent)
             yield [pa.array(keys, pa.int64()), pa.array(nodes[at][sets], pa.int64())]
 
     return _map_sets(docs, size, "key long, node long", each, dedupe=True)
