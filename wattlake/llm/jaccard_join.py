@@ -340,28 +340,45 @@ def _near_in_blocks(nodes: DataFrame, percent: int) -> DataFrame:
     return dealt.mapInArrow(run, "a long, b long").distinct()
 
 
+def _sides(pairs: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
+    """Pairs (a, b) with columns of both their sets."""
+    for side in ("b", "a"):
+        renamed = [F.col(c).alias(f"{side}_{c}") for c in columns]
+        pairs = pairs.join(members.select(F.col("node").alias(side), *renamed), side)
+    return pairs.select("a", "b", *(f"{side}_{c}" for side in "ab" for c in columns))
+
+
 def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
-    """Pairs (a, b) with linked: whether the sets are similar enough, by their whole intersection."""
+    """The pairs (a, b) whose sets are similar enough.
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Sketches go first, since they are short: a pair in which too many of their bits differ is not
+    linked. For the others the whole intersection is counted.
+    """
+
+    def near(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            columns = (batch.column(c).to_pylist() for c in ("a_sketch", "b_sketch", "a_size", "b_size"))
+            for x, y, m, n in zip(*columns, strict=True):
+                words = min(len(x), len(y)) // 8
+                x, y = (fold(np.frombuffer(v, np.uint64), words) for v in (x, y))
+                apart = int(np.bitwise_count(x ^ y).sum())
+                keep.append((100 + percent) * apart <= (100 - percent) * (m + n))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def same(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            linked = []
-            for x, y in zip(batch.column("x").to_pylist(), batch.column("y").to_pylist(), strict=True):
-                x, y = np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)
-                both = np.concatenate([x, y])
+            keep = []
+            columns = (batch.column(c).to_pylist() for c in ("a_members", "b_members"))
+            for x, y in zip(*columns, strict=True):
+                both = np.concatenate([np.frombuffer(x, np.uint64), np.frombuffer(y, np.uint64)])
                 both.sort(kind="stable")
                 common = int((both[1:] == both[:-1]).sum())
-                linked.append(100 * common >= percent * (len(both) - common))
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("a"), batch.column("b"), pa.array(linked, pa.bool_())],
-                names=["a", "b", "linked"],
-            )
+                keep.append(100 * common >= percent * (len(both) - common))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    side = lambda name, value: members.select(
-        F.col("node").alias(name), F.col("members").alias(value)
-    )
-    found = pairs.join(side("b", "y"), "b").join(side("a", "x"), "a").select("a", "b", "x", "y")
-    return found.mapInArrow(run, "a long, b long, linked boolean")
+    close = _sides(pairs, members, "sketch", "size").mapInArrow(near, "a long, b long")
+    return _sides(close, members, "members").mapInArrow(same, "a long, b long")
 
 
 class _Store:
@@ -469,9 +486,9 @@ def near_duplicates(
         .agg(F.max(F.struct("keys", "pivot")).alias("best"))
         .select(F.col("best.pivot").alias("a"), "b")
     )
-    checked = store(_linked(first, members, percent))
+    linked_pairs = store(_linked(first, members, percent))
 
-    rest = store(_open_groups(groups, components(store, checked.where("linked"), nodes)))
+    rest = store(_open_groups(groups, components(store, linked_pairs, nodes)))
     seconds = (
         rest.where("part <> pivot_part")
         .join(weight, "node")
@@ -485,13 +502,13 @@ def near_duplicates(
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
-    checked = store(checked.unionByName(_linked(more, members, percent)))
+    linked_pairs = store(linked_pairs.unionByName(_linked(more, members, percent)))
 
-    rest = _open_groups(groups, components(store, checked.where("linked"), nodes))
+    rest = _open_groups(groups, components(store, linked_pairs, nodes))
     near = _near_in_blocks(rest.join(members.drop("members"), "node"), percent)
-    checked = store(checked.unionByName(_linked(near, members, percent)))
+    linked_pairs = store(linked_pairs.unionByName(_linked(near, members, percent)))
 
-    linked = components(store, checked.where("linked"), nodes).withColumnRenamed("label", "reached")
+    linked = components(store, linked_pairs, nodes).withColumnRenamed("label", "reached")
     names = nodes.join(linked, "node", "left").select(
         "node", F.coalesce("reached", "label").alias("component_id")
     )
