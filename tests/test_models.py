@@ -8,8 +8,10 @@ from decimal import Decimal as D
 import pytest
 from pyspark.sql import functions as F
 
-from wattlake.operators import aggregates, dimensions, joins
-from wattlake.plans import combined, fact, refresh, staging
+from wattlake.functions import scalar
+from wattlake.operators import aggregates, dimensions, joins, report_measures
+from wattlake.plans import combined, fact, refresh, report, staging
+from wattlake.sources import scans
 
 
 def _rows(frame, *columns):
@@ -209,3 +211,37 @@ def test_refresh_equals_rebuild(spark, small, raw_eia, raw_enrichment, tmp_path)
     stored = spark.read.parquet(path).select(*fact.OUTPUT_COLUMNS)
     whole = fact.build(eia, enrichment)
     assert stored.exceptAll(whole).isEmpty() and whole.exceptAll(stored).isEmpty()
+
+
+def test_ratios_are_exact_on_ties(values):
+    x, y = F.col("x").cast("decimal(24,7)"), F.col("y").cast("decimal(24,7)")
+    names = "x double, y double"
+    ties = [(23.0, 160.0), (41.0, 160.0), (51.0, 160.0), (87.0, 160.0)]
+    assert values(scalar.share_percent(x, y), names, *ties) == [14.38, 25.63, 31.88, 54.38]
+    assert values(scalar.per_million_people(x, F.col("y").cast("long")), names, (397.0, 1.6e6)) == [248.13]
+
+
+def test_changed_months_follow_the_given_calendar(spark, raw_eia):
+    late = raw_eia({"id": 1, "period": "2019-05"}, {"id": 2, "period": "2031-02"}, {"id": 3, "period": "2024-01"})
+    assert refresh.changed_months(late) == [202401]
+    days = spark.sql("SELECT explode(sequence(date'2019-01-01', date'2031-12-31')) AS date")
+    dims = fact.Dimensions(days, spark.range(1), 5000, 1)
+    assert refresh.changed_months(late, dims=dims) == [201905, 202401, 203102]
+
+
+def test_annual_and_quarterly_ranges_keep_their_bounds(raw_eia):
+    rows = raw_eia(*({"period": p} for p in ("2020", "2021", "2022", "2021-Q1", "2021-Q4", "2022-Q2", "2022-Q3")))
+    found = lambda f: sorted(r.period for r in scans.fetch_period_range(rows, "2021-01", "2022-06", frequency=f).collect())
+    assert found("annual") == ["2021", "2022"] and found("quarterly") == ["2021-Q1", "2021-Q4", "2022-Q2"]
+    with pytest.raises(ValueError):
+        found("weekly")
+
+
+def test_trend_keeps_locations_beyond_the_seeds(spark):
+    rows = spark.createDataFrame(
+        [(dt.date(2024, 1, 1), f"LOC_{k}", float(k)) for k in (10, 11, 12)], "date date, location string, total_generation_mwh double"
+    ).withColumn("total_generation_mwh", F.col("total_generation_mwh").cast("decimal(24,7)"))
+    trend = {r.location: float(r.total_generation_mwh) for r in report.generation_trend(rows).collect()}
+    assert sum(trend.values()) == 33 and len(trend) == 12 and trend["LOC_1"] == 0
+    with pytest.raises(Exception, match="LOC_11"):
+        report_measures.generation_matrix(rows, report.SEED_LABELS).collect()

@@ -64,3 +64,13 @@ def test_dedupe_and_hours(spark, tmp_path):
     found = {r.window_start.hour: r.n for r in spark.read.parquet(out).collect()}
     # The watermark stands at 03:40: the hours from 03:00 on are still open.
     assert found == {0: 4, 1: 2}
+
+
+def test_two_streams_into_one_table_keep_all_rows(spark, tmp_path):
+    for name, first, n in (("a", 0, 5), ("b", 5, 3)):
+        _records(spark, first, n).write.parquet(str(tmp_path / name))
+        lines = arrivals.read_files(spark, str(tmp_path / name), _records(spark, 0, 1).schema, "*.parquet")
+        arrivals.append_enrichment(
+            lines, str(tmp_path / "raw"), str(tmp_path / f"checkpoint-{name}"), keep=("id",)
+        ).awaitTermination()
+    assert spark.read.parquet(str(tmp_path / "raw")).count() == 8

@@ -129,22 +129,31 @@ def industrial_category(index: Column) -> Column:
     )
 
 
+def _exact_ratio(part: Column, whole: Column, factor: int, digits: int) -> Column:
+    """factor * part / whole, rounded half up, by whole numbers: no binary fraction comes in.
+
+    For parts that are not negative and a positive whole, of at most 7 decimals each.
+    """
+    wide = "decimal(24,7)"
+    scale = F.lit(2 * factor * 10**digits).cast("decimal(12,0)")
+    doubled = part.cast(wide) * scale + whole.cast(wide)
+    quotient = F.call_function("div", doubled, whole.cast(wide) * F.lit(2).cast("decimal(1,0)"))
+    return quotient.cast("double") / float(10**digits)
+
+
 def share_percent(part: Column, total: Column) -> Column:
     """Percentage with two decimals; 0 where the total is not positive."""
-    ratio = part.cast("double") / total.cast("double") * 100
-    return F.when(total > 0, F.round(ratio, 2)).otherwise(F.lit(0.0))
+    return F.when(total > 0, _exact_ratio(part, total, 100, 2)).otherwise(F.lit(0.0))
 
 
 def ratio_or_null(numerator: Column, denominator: Column) -> Column:
     """Ratio with four decimals; NULL where the denominator is missing or not positive."""
-    ratio = numerator.cast("double") / denominator.cast("double")
-    return F.when(denominator > 0, F.round(ratio, 4))
+    return F.when(denominator > 0, _exact_ratio(numerator, denominator, 1, 4))
 
 
 def per_million_people(energy: Column, population: Column) -> Column:
     """Energy per million people, two decimals; NULL without energy or population."""
-    ratio = energy.cast("double") / population.cast("double") * 1_000_000
-    return F.when(population > 0, F.round(ratio, 2))
+    return F.when(population > 0, _exact_ratio(energy, population, 1_000_000, 2))
 
 
 def zero_safe_percent(part: Column, total: Column) -> Column:

@@ -50,9 +50,13 @@ def top(rows: DataFrame, measure: str, n: int = 3) -> DataFrame:
 
 def generation_matrix(rows: DataFrame, locations: Sequence[str]) -> DataFrame:
     """Dates by locations, 0 where a location has nothing. The labels come from the location
-    dimension, so no job is needed to find them."""
+    dimension, so no job is needed to find them; a location without a label is an error."""
+    label = F.col("location")
+    missing = F.raise_error(F.concat(F.lit("no column for location "), label))
+    known = F.when(label.isNull() | label.isin(*locations), label).otherwise(missing)
     return (
-        rows.groupBy("date")
+        rows.select("date", known.alias("location"), "total_generation_mwh")
+        .groupBy("date")
         .pivot("location", list(locations))
         .agg(F.sum("total_generation_mwh"))
         .fillna(0)
@@ -60,9 +64,20 @@ def generation_matrix(rows: DataFrame, locations: Sequence[str]) -> DataFrame:
 
 
 def generation_over_time(rows: DataFrame, locations: Sequence[str]) -> DataFrame:
-    """The matrix as (date, location, mwh) rows, zeros included."""
-    matrix = generation_matrix(rows, locations)
-    return matrix.unpivot("date", list(locations), "location", "total_generation_mwh")
+    """(date, location, mwh) rows of all dates and locations, zeros included.
+
+    A location is one of the rows or of the given labels. The names are as few as the location
+    dimension has; they go to each date as one list.
+    """
+    totals = rows.groupBy("date", "location").agg(F.sum("total_generation_mwh").alias("mwh"))
+    own = totals.agg(F.collect_set("location").alias("own"))
+    given = F.array(*(F.lit(x) for x in locations)) if locations else F.array().cast("array<string>")
+    names = own.select(F.array_union("own", given).alias("names"), F.lit(1).alias("one"))
+    dates = totals.select("date", F.lit(1).alias("one")).distinct()
+    grid = dates.join(F.broadcast(names), "one").select("date", F.explode("names").alias("location"))
+    return grid.join(totals, ["date", "location"], "left").select(
+        "date", "location", F.coalesce("mwh", F.lit(0).cast("decimal(24,7)")).alias("total_generation_mwh")
+    )
 
 
 def monthly_renewable(rows: DataFrame) -> DataFrame:

@@ -31,20 +31,20 @@ def month_of(period: Column) -> Column:
     return F.date_format(scalar.period_date(period), "yyyyMM").cast("int")
 
 
-def changed_months(*changed: DataFrame) -> list[int]:
-    """Months (YYYYMM) that new raw rows touch.
+def changed_months(
+    *changed: DataFrame, dims: fact_model.Dimensions | None = None
+) -> list[int]:
+    """Months (YYYYMM) that new raw rows touch, among those of the time dimension.
 
-    They come to the driver, which is safe: only months of the calendar dimension can reach
-    the mart, and all others are left out before the collect.
+    They come to the driver, which is safe: only months of the calendar can reach the mart, and
+    all others are left out before the collect. Give the same ``dims`` as to refresh().
     """
-    days = fact_model.dimensions
-    first = int(days.CALENDAR_START[:7].replace("-", ""))
-    last = int(days.CALENDAR_END[:7].replace("-", ""))
     found: set[int] = set()
     for rows in changed:
-        months = rows.select(month_of(F.col("period")).alias("m"))
-        inside = months.filter(F.col("m").between(first, last)).distinct()
-        found |= {row.m for row in inside.collect()}
+        time = (dims or fact_model.Dimensions.seeds(rows.sparkSession)).time
+        calendar = time.select(F.date_format("date", "yyyyMM").cast("int").alias("m")).distinct()
+        months = rows.select(month_of(F.col("period")).alias("m")).distinct()
+        found |= {row.m for row in months.join(calendar, "m", "left_semi").collect()}
     return sorted(found)
 
 

@@ -20,6 +20,7 @@ def generation_by_location(rows: DataFrame) -> DataFrame:
 
 
 def generation_trend(rows: DataFrame, labels: list[str] | None = None) -> DataFrame:
+    """Every location of the rows, and those of the labels (the seeds) also without any row."""
     return report_measures.generation_over_time(rows, labels or SEED_LABELS)
 
 

@@ -99,6 +99,6 @@ def incremental_refresh(t: Tables):
     refresh.rebuild(
         fact.build(t.raw_eia.filter(early), t.raw_enrichment.filter(early), t.dims), path
     )
-    months = refresh.changed_months(t.raw_eia.filter(~early), t.raw_enrichment.filter(~early))
+    months = refresh.changed_months(t.raw_eia.filter(~early), t.raw_enrichment.filter(~early), dims=t.dims)
     refresh.refresh(t.raw_eia, t.raw_enrichment, months, path, t.dims)
     return t.spark.read.parquet(path).select(*fact.OUTPUT_COLUMNS)

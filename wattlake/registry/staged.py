@@ -9,7 +9,7 @@ from wattlake.operators import aggregates, filters
 from wattlake.plans import combined, fact, staging
 from wattlake.registry import sql
 from wattlake.registry.core import Tables, query
-from wattlake.registry.sql import doubles, longs, texts
+from wattlake.registry.sql import doubles, longs, percent, texts
 
 _GEN_COLUMNS = [
     "generation_key", "source_id", "data_source", "period_date", "period_type", "period_raw",
@@ -137,11 +137,9 @@ _COMBINED_KEYS = "CAST(period_date AS VARCHAR) AS period_date, location, locatio
 
 
 @query("P17_share_percent", f"""
-SELECT {_COMBINED_KEYS}, CASE WHEN total_generation_mwh > 0 THEN round(CAST(
-         renewable_generation_mwh AS DOUBLE) / CAST(total_generation_mwh AS DOUBLE) * 100, 2)
-         ELSE 0 END AS renewable_percentage,
-       CASE WHEN total_generation_mwh > 0 THEN round(CAST(fossil_generation_mwh AS DOUBLE)
-         / CAST(total_generation_mwh AS DOUBLE) * 100, 2) ELSE 0 END AS fossil_percentage
+SELECT {_COMBINED_KEYS},
+       {percent("renewable_generation_mwh", "total_generation_mwh")} AS renewable_percentage,
+       {percent("fossil_generation_mwh", "total_generation_mwh")} AS fossil_percentage
 FROM gen_agg""")
 def share_percent(t: Tables):
     rows = aggregates.aggregate_generation(t.generation)

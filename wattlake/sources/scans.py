@@ -10,7 +10,12 @@ from pyspark.sql import functions as F
 from wattlake.functions import scalar
 from wattlake.sources.landing import require_month
 
-_FREQUENCY_SHAPE = {"monthly": scalar.MONTH, "daily": scalar.DAY, "annual": scalar.YEAR}
+_FREQUENCY_SHAPE = {
+    "monthly": scalar.MONTH,
+    "daily": scalar.DAY,
+    "annual": scalar.YEAR,
+    "quarterly": r"^\d{4}-Q[1-4]$",
+}
 
 REPORT_COLUMNS = [
     "time_key", "location_key", "total_generation_mwh", "renewable_percentage",
@@ -31,6 +36,17 @@ _TIE_BREAKERS = [
 ]
 
 
+def _bound(month: str, frequency: str) -> str:
+    """The period of a frequency that holds a month."""
+    if frequency not in _FREQUENCY_SHAPE:
+        raise ValueError(f"frequency {frequency!r} is none of {sorted(_FREQUENCY_SHAPE)}")
+    if frequency == "annual":
+        return month[:4]
+    if frequency == "quarterly":
+        return f"{month[:4]}-Q{(int(month[5:]) + 2) // 3}"
+    return month
+
+
 def fetch_period_range(
     landed: DataFrame, start: str, end: str, location: str | None = None,
     frequency: str = "monthly",
@@ -40,10 +56,10 @@ def fetch_period_range(
     Plain comparisons on stored columns: they reach the Parquet reader and prune row
     groups, and partitions where the dataset is partitioned by period.
     """
-    low, high = require_month(start), require_month(end)
+    low, high = (_bound(require_month(month), frequency) for month in (start, end))
     period = F.col("period")
     # "~" sorts after every digit and "-", so days within the last month are included.
-    rows = landed.filter(period.between(low, high if frequency == "monthly" else high + "~"))
+    rows = landed.filter(period.between(low, high + "~" if frequency == "daily" else high))
     rows = rows.filter(period.rlike(_FREQUENCY_SHAPE[frequency]))
     return rows if location is None else rows.filter(F.col("location") == location)
 

@@ -45,14 +45,21 @@ def append_enrichment(
     """Land all arrived enrichment records, then stop; the next run goes on from there.
 
     Each micro-batch fills a partition of its own and replaces it when it runs again, so a
-    batch that failed half-way and is retried leaves no row twice.
+    batch that failed half-way and is retried leaves no row twice. The partition also names the
+    stream, by the id that its checkpoint holds, so streams can share a table and a renewed
+    checkpoint replaces nothing.
     """
 
     def land(batch: DataFrame, batch_id: int) -> None:
-        rows = landing.land_enrichment_lines(batch, keep=keep)
-        rows.withColumn("batch_id", F.lit(batch_id).cast("long")).write.mode("overwrite").option(
-            "partitionOverwriteMode", "dynamic"
-        ).partitionBy("batch_id").parquet(path)
+        stream = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId")
+        if not stream:
+            raise RuntimeError("the stream has no id, so its batches cannot be told from others")
+        rows = landing.land_enrichment_lines(batch, keep=keep).withColumns(
+            {"stream_id": F.lit(stream), "batch_id": F.lit(batch_id).cast("long")}
+        )
+        rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
+            "stream_id", "batch_id"
+        ).parquet(path)
 
     return (
         lines.writeStream.foreachBatch(land)
