@@ -19,7 +19,7 @@ import numpy as np
 
 from wattlake.llm.vocabularies import resolve
 
-MEMORY_ENTRIES = 1_200_000
+MEMORY_ENTRIES = 900_000
 #: Longer chunks are encoded each time and never kept.
 LONGEST_KEPT = 64
 #: A special token of all these vocabularies; it parts chunks that are encoded in one call.

@@ -31,7 +31,7 @@ TRAIN_SNIPPETS = 4
 SNIPPET = 128
 
 WINDOW, OVERLAP = 1024, 96
-BATCH_CHARS = 2 << 20
+BATCH_CHARS = 1 << 20
 HIDDEN = 6
 TAGS = len(KINDS) + 1
 
