@@ -73,6 +73,11 @@ def bigrams(w: Column) -> Column:
     return F.when(n > 1, F.array_distinct(pairs)).otherwise(F.array().cast("array<string>"))
 
 
+def _once(value: Column) -> Column:
+    """A value that later filters and columns do not compute again: a generator of one row."""
+    return F.explode(F.array(value))
+
+
 def templates(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     """template, licence, bigrams, n for each template of two words or more."""
     numbered = [(i, licence, text) for i, (licence, text) in enumerate(rows)]
@@ -113,9 +118,9 @@ def scan(
     units = own.select("doc_id", "key", F.explode(lines).alias("unit"))
     sized = (
         units.where(F.length("unit") > 0)
-        .select("doc_id", "key", F.xxhash64("unit").alias("unit"), words(F.col("unit")).alias("w"))
+        .select("doc_id", "key", F.xxhash64("unit").alias("unit"), _once(words(F.col("unit"))).alias("w"))
         .where(F.size("w") > max(least, 1))
-        .select("doc_id", "key", "unit", bigrams(F.col("w")).alias("own"))
+        .select("doc_id", "key", "unit", _once(bigrams(F.col("w"))).alias("own"))
         .where((F.size("own") >= least) & (F.size("own") <= most))
     )
     pieces = table.select("template", "licence", "n", F.explode("bigrams").alias("bigram"))
