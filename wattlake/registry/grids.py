@@ -57,7 +57,7 @@ def location_period_grid(t: Tables):
 @query("G04_required_text", """
 SELECT id, trim(location) AS location, trim(coalesce(sector, '  ')) AS sector,
        sector IS NOT NULL AS is_valid,
-       CASE WHEN sector IS NULL THEN 'sector is required and cannot be empty' END AS reject_reason
+       CASE WHEN sector IS NULL THEN 'sector must not be blank' END AS reject_reason
 FROM raw_eia""")
 def required_text(t: Tables):
     rows = t.raw_eia.select("id", "location", F.coalesce("sector", F.lit("  ")).alias("sector"))

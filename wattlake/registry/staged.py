@@ -66,7 +66,9 @@ def clean_text(t: Tables):
     return t.raw_eia.select("id", *(scalar.clean_lower(F.col(n)).alias(n) for n in names))
 
 
-@query("P06_units_to_mwh", f"SELECT id, units, CAST({sql._MWH} AS DOUBLE) AS mwh FROM raw_eia")
+@query("P06_units_to_mwh", f"""
+SELECT id, r.units, CAST({sql.MWH} AS DOUBLE) AS mwh
+FROM raw_eia r JOIN unit_factors u ON r.units IS NOT DISTINCT FROM u.units""")
 def units_to_mwh(t: Tables):
     return t.raw_eia.select("id", "units", scalar.to_mwh(F.col("value"), F.col("units")).alias("mwh"))
 
@@ -237,18 +239,14 @@ def renewable_band(t: Tables):
 
 @query("F01_generation_rows", """
 SELECT id, series_id, energy_source FROM raw_eia
-WHERE energy_source IS NOT NULL AND value IS NOT NULL AND value >= 0
-  AND series_id NOT ILIKE '%sales%' AND series_id NOT ILIKE '%consumption%'
-  AND series_id NOT ILIKE '%revenue%'""")
+SEMI JOIN (SELECT source_id FROM energy_rows WHERE generates) ON id = source_id""")
 def generation_rows(t: Tables):
     return filters.generation_rows(t.raw_eia).select("id", "series_id", "energy_source")
 
 
 @query("F02_consumption_rows", """
 SELECT id, series_id, sector FROM raw_eia
-WHERE value IS NOT NULL AND value >= 0
-  AND (series_id ILIKE '%sales%' OR series_id ILIKE '%consumption%' OR sector IS NOT NULL)
-  AND (series_id NOT ILIKE '%generation%' OR sector IS NOT NULL)""")
+SEMI JOIN (SELECT source_id FROM energy_rows WHERE consumes) ON id = source_id""")
 def consumption_rows(t: Tables):
     return filters.consumption_rows(t.raw_eia).select("id", "series_id", "sector")
 

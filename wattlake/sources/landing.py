@@ -138,7 +138,7 @@ def land_enrichment_lines(
 def require_month(bound: str) -> str:
     """A period bound given as a parameter: YYYY-MM or an error."""
     if not re.match(_MONTH_PARAMETER, bound):
-        raise ValueError(f"Invalid date format: {bound}. Expected format: YYYY-MM")
+        raise ValueError(f"not a month (YYYY-MM): {bound!r}")
     return bound
 
 
@@ -160,7 +160,7 @@ def split_by_required_text(table: DataFrame, columns: Sequence[str]) -> DataFram
         {
             "is_valid": reason == "",
             "reject_reason": F.when(
-                reason != "", F.concat(reason, F.lit(" is required and cannot be empty"))
+                reason != "", F.concat(reason, F.lit(" must not be blank"))
             ),
         }
     )
