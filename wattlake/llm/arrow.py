@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
@@ -18,6 +19,39 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> Data
     )
 
 
+#: What a Python worker keeps from task to task, by name, as functions that give it up.
+KEPT: dict[str, Callable[[], None]] = {}
+
+
+def release() -> None:
+    """Hand memory that is free in this process back to the system."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def map_in_arrow(
+    table: DataFrame,
+    run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]],
+    schema: str,
+    keeps: str = "",
+) -> DataFrame:
+    """mapInArrow for workers that live on: a task first drops what other operators keep in its
+    worker, all but ``keeps``, and hands its free memory back at the end."""
+
+    def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for name, forget in KEPT.items():
+            if name != keeps:
+                forget()
+        try:
+            yield from run(batches)
+        finally:
+            release()
+
+    return table.mapInArrow(task, schema)
+
+
 def map_batches(
     docs: DataFrame, each: Callable[[pa.RecordBatch], Iterator[pa.RecordBatch]], schema: str
 ) -> DataFrame:
@@ -28,7 +62,7 @@ def map_batches(
             if batch.num_rows:
                 yield from each(batch)
 
-    return docs.mapInArrow(run, schema)
+    return map_in_arrow(docs, run, schema)
 
 
 def texts_of(batch: pa.RecordBatch, column: str = "text") -> list[str]:

@@ -17,6 +17,7 @@ import re
 
 import numpy as np
 
+from wattlake.llm.arrow import KEPT
 from wattlake.llm.vocabularies import resolve
 
 MEMORY_ENTRIES = 900_000
@@ -143,6 +144,7 @@ class ChunkEncoder:
 
 
 _encoders: dict[str, ChunkEncoder] = {}
+KEPT["encoders"] = _encoders.clear
 
 
 def encoder(path: str) -> ChunkEncoder:

@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text
+from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import chunks, combine, words_of
 from wattlake.session import work_folder
 
@@ -66,8 +66,7 @@ def bucket_counts(docs: DataFrame) -> tuple[np.ndarray, np.ndarray]:
         )
 
     summed = (
-        docs.select("text", "target")
-        .mapInArrow(run, "bucket long, raw long, target long")
+        map_in_arrow(docs.select("text", "target"), run, "bucket long, raw long, target long")
         .groupBy("bucket")
         .agg(F.sum("raw").alias("raw"), F.sum("target").alias("target"))
         .toArrow()
@@ -158,7 +157,7 @@ def resample(
     # The upper 53 bits of a hash as a number between 0 and 1, both excluded.
     uniform = (F.shiftrightunsigned(F.xxhash64("doc_id", F.lit("gumbel")), 11) + 0.5) / float(1 << 53)
     path = f"{work_folder(spark, 'importance')}/scored"
-    source.mapInArrow(run, f"doc_id {kind}, log_ratio double").withColumn(
+    map_in_arrow(source, run, f"doc_id {kind}, log_ratio double").withColumn(
         "key", F.col("log_ratio") - F.log(-F.log(uniform))
     ).write.parquet(path)
     scored = spark.read.parquet(path)

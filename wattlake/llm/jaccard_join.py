@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text
+from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import Words, chunks, combine, mix, words_of
 from wattlake.session import work_folder
 
@@ -200,7 +200,7 @@ def _map_sets(docs: DataFrame, size: int, schema: str, each, dedupe: bool = Fals
                 for columns in each(ids, values, begins, nodes, pick):
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
-    return docs.mapInArrow(run, schema)
+    return map_in_arrow(docs, run, schema)
 
 
 def _sets(docs: DataFrame, size: int) -> DataFrame:
@@ -337,7 +337,7 @@ def _near_in_blocks(nodes: DataFrame, percent: int) -> DataFrame:
         if waiting:
             yield found()
 
-    return dealt.mapInArrow(run, "a long, b long").distinct()
+    return map_in_arrow(dealt, run, "a long, b long").distinct()
 
 
 def _sides(pairs: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
@@ -377,8 +377,8 @@ def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = _sides(pairs, members, "sketch", "size").mapInArrow(near, "a long, b long")
-    return _sides(close, members, "members").mapInArrow(same, "a long, b long")
+    close = map_in_arrow(_sides(pairs, members, "sketch", "size"), near, "a long, b long")
+    return map_in_arrow(_sides(close, members, "members"), same, "a long, b long")
 
 
 class _Store:

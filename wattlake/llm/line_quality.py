@@ -15,7 +15,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text
+from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import chunks, combine, mix, words_of
 from wattlake.session import work_folder
 
@@ -123,7 +123,8 @@ def _measured(docs: DataFrame, host_col: str, id_col: str, text_col: str) -> Dat
                 )
                 row += len(texts)
 
-    return source.mapInArrow(
+    return map_in_arrow(
+        source,
         run,
         f"row long, doc_id {kind}, host string, {', '.join(f'{c} long' for c in _FIGURES)}, "
         "line array<long>, line_words array<long>",

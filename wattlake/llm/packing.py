@@ -26,7 +26,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text, slices, texts_of
+from wattlake.llm.arrow import id_and_text, map_in_arrow, slices, texts_of
 from wattlake.llm.encoding import encoder
 from wattlake.session import work_folder
 
@@ -179,10 +179,12 @@ def cut(
                     names=["doc_id", "piece", "start", "length", "ids", "partition", "local_rank"],
                 )
 
-    return source.mapInArrow(
+    return map_in_arrow(
+        source,
         run,
         f"doc_id {kind}, piece int, start long, length long, ids binary, partition int, "
         "local_rank long",
+        keeps="encoders",
     )
 
 

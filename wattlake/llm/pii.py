@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text, slices
+from wattlake.llm.arrow import id_and_text, map_in_arrow, slices
 
 KINDS = ("email", "ip", "card", "phone")
 #: Most documents whose spans train the model, and most snippets of one document.
@@ -481,7 +481,7 @@ def _snippets(docs: DataFrame, most_docs: int) -> list[tuple[str, list[Span]]]:
                 texts.append((text or "")[: 2 * SNIPPET])
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string())], names=["snippet"])
 
-    found = rows.select("text").mapInArrow(run, "snippet string").collect()
+    found = map_in_arrow(rows.select("text"), run, "snippet string").collect()
     texts = sorted({r.snippet for r in found if r.snippet})
     return [(t, base_spans(t)) for t in texts]
 
@@ -555,7 +555,7 @@ def find(
                     columns.append(column)
                 yield pa.RecordBatch.from_arrays(columns, names=list(masked))
 
-    return source.mapInArrow(run, schema)
+    return map_in_arrow(source, run, schema)
 
 
 def mask(text: str, spans: list[Span]) -> str:

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm import id_codec
-from wattlake.llm.arrow import id_and_text, slices, texts_of
+from wattlake.llm.arrow import id_and_text, map_in_arrow, slices, texts_of
 from wattlake.llm.encoding import encoder
 
 BLOCK_IDS = 1 << 20
@@ -80,8 +80,9 @@ def write(
             yield flush()
 
     # The range is cut on the table as it is read, so that finding it tokenizes nothing.
-    source.repartitionByRange("doc_id").sortWithinPartitions("doc_id").mapInArrow(
-        blocks, FILE_COLUMNS.format(ids=f"doc_ids array<{kind}>")
+    ranges = source.repartitionByRange("doc_id").sortWithinPartitions("doc_id")
+    map_in_arrow(
+        ranges, blocks, FILE_COLUMNS.format(ids=f"doc_ids array<{kind}>"), keeps="encoders"
     ).write.option("compression", "none").parquet(path)
 
 
@@ -123,6 +124,9 @@ def read(spark: SparkSession, path: str) -> DataFrame:
                         names=["doc_id", "start", "n_tokens", "ids"],
                     )
 
-    return files.join(before, "file").select(
+    coded = files.join(before, "file").select(
         "doc_ids", "lengths", "payload", "start", "file_start"
-    ).mapInArrow(documents, f"doc_id {kind}, start long, n_tokens long, ids binary")
+    )
+    return map_in_arrow(
+        coded, documents, f"doc_id {kind}, start long, n_tokens long, ids binary"
+    )
