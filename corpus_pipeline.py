@@ -17,8 +17,15 @@ BROADCAST_IDS = 1_000_000
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
-    """Documents whose id is not among the dropped ones."""
-    ids = dropped.select(F.col("doc_id").alias("dropped_id")).distinct()
+    """Documents whose id is not among the dropped ones.
+
+    The ids are written first: their check of size and the join then read a small table, where
+    each would else run the whole operator.
+    """
+    spark = docs.sparkSession
+    path = f"{work_folder(spark, 'dropped')}/ids"
+    dropped.select(F.col("doc_id").alias("dropped_id")).distinct().write.parquet(path)
+    ids = spark.read.parquet(path)
     if ids.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
         ids = F.broadcast(ids)
     return docs.join(ids, docs["doc_id"].eqNullSafe(ids["dropped_id"]), "left_anti")
