@@ -14,6 +14,8 @@ from wattlake.session import work_folder
 
 #: Most ids that are sent to all executors to drop their documents; beyond, Spark shuffles.
 BROADCAST_IDS = 1_000_000
+#: Near copies of the stage: Jaccard similarity of five-word shingles, in hundredths.
+NEAR_WORDS, NEAR_PERCENT = 5, 80
 
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
@@ -38,7 +40,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Keeps the document with the least id of each group of near copies."""
-    found = jaccard_join.near_duplicates(spark, docs)
+    found = jaccard_join.near_duplicates(spark, docs, NEAR_WORDS, NEAR_PERCENT)
     return _without(docs, found.where("component_id <> doc_id"))
 
 

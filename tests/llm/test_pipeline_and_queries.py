@@ -40,6 +40,17 @@ def test_stages_filter_and_keep_the_columns(spark, sf_dir):
     assert {r.doc_id for r in packed} == set(clean)
 
 
+def test_near_copies_from_four_fifths_up_go(spark, sf_dir):
+    words = [f"w{i}" for i in range(200)]
+    own = [f"x{i}" for i in range(40)]
+    # The second text has 18 % appended, the third three words changed, the fourth too much appended.
+    texts = [words, words + own[:36], [*words[:50], "a", *words[51:100], "b", *words[101:150], "c", *words[151:]]]
+    texts += [words + [f"y{i}" for i in range(90)]]
+    rows = [(i, " ".join(t)) for i, t in enumerate(texts, start=1)]
+    kept = corpus_pipeline.near_duplicates(spark, spark.createDataFrame(rows, "doc_id long, text string"), sf_dir)
+    assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
+
+
 def test_pipeline_of_an_empty_table(spark, sf_dir, tmp_path):
     for table in ("documents", "benchmark"):
         frame = spark.read.parquet(f"{sf_dir}/{table}.parquet")
