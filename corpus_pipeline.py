@@ -17,6 +17,9 @@ BROADCAST_IDS = 1_000_000
 #: Near copies of the stage: Jaccard similarity of five-word shingles, in hundredths.
 NEAR_WORDS, NEAR_PERCENT = 5, 80
 
+#: Different texts of a host from which on a line is common to them, however large the host.
+COMMON_TEXTS = 5
+
 
 def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
     """Documents whose id is not among the dropped ones.
@@ -35,7 +38,8 @@ def _without(docs: DataFrame, dropped: DataFrame) -> DataFrame:
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Drops repetitive, short and depleted documents."""
-    return _without(docs, line_quality.judge(spark, docs).where("NOT kept"))
+    judged = line_quality.judge(spark, docs, least_docs=COMMON_TEXTS, host_percent=None)
+    return _without(docs, judged.where("NOT kept"))
 
 
 def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -9,6 +9,7 @@ from collections import Counter
 import numpy as np
 import pytest
 
+import corpus_pipeline
 from wattlake.llm import (
     decontaminate,
     importance,
@@ -133,6 +134,25 @@ def test_depleted_documents_are_rejected_and_others_kept(spark):
     assert line_quality.judge(spark, docs.limit(0)).count() == 0
 
 
+def test_boilerplate_goes_in_hosts_of_any_size(spark):
+    words = lambda name, n: " ".join(f"{name}x{k}" for k in range(n))
+    rows = []
+    for host, size, planted in (("hot", 600, 40), ("small", 8, 6)):
+        plate = words(f"plate{host}", 60)
+        for i in range(size):
+            text = f"{plate}\nown {host} {i}" if i < planted else words(f"{host}{i}", 60)
+            rows.append((len(rows), text, host))
+    # Copies count once, and one of a group of near copies is left whole.
+    rows += [(1000 + i, words("copy", 60), "small") for i in range(30)]
+    rows += [(2000 + i, f"{words('near', 60)}\nmark {i}", "small") for i in range(30)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
+    found = line_quality.judge(spark, docs, least_docs=5, host_percent=None)
+    gone = {r.doc_id for r in found.where("NOT kept").collect()}
+    assert gone == {*range(1, 40), *range(601, 606), *range(2001, 2030)}
+    stage = corpus_pipeline.quality_rules(spark, docs, "")
+    assert {r.doc_id for r in stage.collect()} == {r[0] for r in rows} - gone
+
+
 # Decontamination and licences
 
 

@@ -138,7 +138,7 @@ def judge(
     id_col: str = "doc_id",
     text_col: str = "text",
     least_docs: int = 20,
-    host_percent: int = 20,
+    host_percent: int | None = 20,
     least_left_percent: int = 30,
     least_words: int = 50,
     most_repeat_percent: int = 50,
@@ -151,6 +151,10 @@ def judge(
     are removed. A document of which less than least_left_percent of the words is left is
     depleted. kept is false for a document that fails or is depleted.
 
+    Without host_percent the limit does not grow with the host: a line is common if least_docs
+    texts of its host hold it, texts of the same lines counting once, and its words stay in one
+    of these texts, that of the least id, so that of a group of near copies one is left whole.
+
     A null text has no words and fails. A null host is the host of the empty name. Repeated rows
     count as documents of their own; an empty table gives no rows; other columns are not read.
     """
@@ -159,20 +163,16 @@ def judge(
     measured = spark.read.parquet(path)
 
     lines = measured.select(
-        "row", "host", F.explode(F.arrays_zip("line", "line_words")).alias("l")
-    ).select("row", "host", F.col("l.line").alias("line"), F.col("l.line_words").alias("words"))
-    hosts = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
-    common = (
-        lines.groupBy("host", "line")
-        .agg(F.count("*").alias("n_docs"))
-        .where(F.col("n_docs") >= least_docs)
-        .join(hosts, "host")
-        .where(100 * F.col("n_docs") > host_percent * F.col("host_docs"))
-        .select("host", "line")
-    )
-    removed = (
-        lines.join(common, ["host", "line"]).groupBy("row").agg(F.sum("words").alias("removed_words"))
+        "row",
+        "doc_id",
+        "host",
+        F.xxhash64("line").alias("lines_of"),
+        F.explode(F.arrays_zip("line", "line_words")).alias("l"),
+    ).select(
+        "row", "doc_id", "host", "lines_of", F.col("l.line").alias("line"), F.col("l.line_words").alias("words")
     )
+    held = _held_beyond(lines, least_docs, host_percent, measured)
+    removed = held.groupBy("row").agg(F.sum("words").alias("removed_words"))
     failed = (F.col("n_words") < least_words) | (
         100 * F.col("n_repeat_words") > most_repeat_percent * F.col("n_words")
     )
@@ -187,3 +187,30 @@ def judge(
         )
         .drop("row")
     )
+
+
+def _held_beyond(
+    lines: DataFrame, least_docs: int, host_percent: int | None, measured: DataFrame
+) -> DataFrame:
+    """Lines of documents whose words are removed: row, words."""
+    if host_percent is None:
+        # Counted in two steps, so that no task gets all documents of a line.
+        common = (
+            lines.groupBy("host", "line", "lines_of")
+            .agg(F.min("doc_id").alias("least"))
+            .groupBy("host", "line")
+            .agg(F.count("*").alias("n_texts"), F.min(F.struct("least", "lines_of")).alias("first"))
+            .where(F.col("n_texts") >= least_docs)
+            .select("host", "line", F.col("first.lines_of").alias("stays"))
+        )
+        return lines.join(common, ["host", "line"]).where("lines_of <> stays").select("row", "words")
+    hosts = measured.groupBy("host").agg(F.count("*").alias("host_docs"))
+    common = (
+        lines.groupBy("host", "line")
+        .agg(F.count("*").alias("n_docs"))
+        .where(F.col("n_docs") >= least_docs)
+        .join(hosts, "host")
+        .where(100 * F.col("n_docs") > host_percent * F.col("host_docs"))
+        .select("host", "line")
+    )
+    return lines.join(common, ["host", "line"]).select("row", "words")
