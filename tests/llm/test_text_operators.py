@@ -3,6 +3,7 @@ from __future__ import annotations
 import math
 import random
 import re
+import textwrap
 import zlib
 from collections import Counter
 
@@ -204,6 +205,24 @@ def test_licence_scan(spark):
     assert licences.scan(spark, docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_licences_wrapped_inside_lines_and_in_full(spark):
+    wrap = lambda t: textwrap.fill(" ".join(t.split()), 78)
+    bodies = dict(licences.BODIES)
+    prose = " ".join(f"prose{i}" for i in range(300))
+    rows = [
+        (1, "MIT License\n\nCopyright (c) 2024 A. Person\n\n" + wrap(bodies["MIT"])),
+        (2, "Some words before. All rights reserved. More words behind."), (3, wrap(licences.TEMPLATES[8][1])),
+        (4, f"{prose}\n{wrap(licences.TEMPLATES[6][1])}\n{prose}"), (5, prose + wrap(bodies["GPL-3.0"]) + prose),
+        (6, wrap(bodies["BSD-3-Clause"]).replace("copyright holder", "Some Company")), (7, prose),
+        (8, "rights reserved"), (9, "Permission is hereby granted, free of charge, to nobody at all."),
+    ]
+    found = {r.doc_id: r for r in licences.scan(spark, docs_of(spark, rows, "unit int")).collect()}
+    assert {"MIT"} == {*found[1].licences.split(",")} and found[1].best_dice == 1.0
+    assert [found[i].licences for i in (2, 3, 4, 7, 9)] == ["proprietary", "GPL-3.0", "BSD-3-Clause", "", ""]
+    assert "GPL-3.0" in found[5].licences and "BSD-3-Clause" in found[6].licences
+    assert found[2].n_units == 1 and found[7].n_units == 0
+
+
 # Personal data
 
 

@@ -1,13 +1,19 @@
-"""Licence scan: lines and whole texts against licence templates by Dice over word bigrams.
+"""Licence scan: lines, whole texts and windows against licence templates by Dice over word bigrams.
 
-A unit (a line, or a whole text) and a template are sets of word bigrams a and b; they match when
+A unit (a line, a whole text, or a window of words) and a template are sets of word bigrams a and b; they match when
 2 * |a & b| / (|a| + |b|) reaches the threshold. Then |a| lies within fixed bounds of |b|, so units of
 other sizes are dropped before their bigrams are made, and a template is no candidate for a
 unit outside its own bounds. The templates are a fixed, small table and are broadcast.
+
+Notices that are wrapped over lines or stand inside a line, and full licence bodies, are found by
+windows as long as the template, laid where one of its anchors puts it. Anchors are so many of a
+template's bigrams that no matching window is without one.
 """
 
 from __future__ import annotations
 
+import pkgutil
+import re
 import string
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -54,6 +60,45 @@ TEMPLATES = [
     ),
     ("proprietary", "All rights reserved."),
 ]
+_WARRANTY = (
+    'THIS SOFTWARE IS PROVIDED BY THE COPYRIGHT HOLDERS AND CONTRIBUTORS "AS IS" AND ANY EXPRESS OR '
+    "IMPLIED WARRANTIES, INCLUDING, BUT NOT LIMITED TO, THE IMPLIED WARRANTIES OF MERCHANTABILITY AND "
+    "FITNESS FOR A PARTICULAR PURPOSE ARE DISCLAIMED. IN NO EVENT SHALL THE COPYRIGHT HOLDER OR "
+    "CONTRIBUTORS BE LIABLE FOR ANY DIRECT, INDIRECT, INCIDENTAL, SPECIAL, EXEMPLARY, OR CONSEQUENTIAL "
+    "DAMAGES (INCLUDING, BUT NOT LIMITED TO, PROCUREMENT OF SUBSTITUTE GOODS OR SERVICES; LOSS OF USE, "
+    "DATA, OR PROFITS; OR BUSINESS INTERRUPTION) HOWEVER CAUSED AND ON ANY THEORY OF LIABILITY, WHETHER "
+    "IN CONTRACT, STRICT LIABILITY, OR TORT (INCLUDING NEGLIGENCE OR OTHERWISE) ARISING IN ANY WAY OUT OF "
+    "THE USE OF THIS SOFTWARE, EVEN IF ADVISED OF THE POSSIBILITY OF SUCH DAMAGE."
+)
+_BSD_2 = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted "
+    "provided that the following conditions are met: 1. Redistributions of source code must retain the "
+    "above copyright notice, this list of conditions and the following disclaimer. 2. Redistributions in "
+    "binary form must reproduce the above copyright notice, this list of conditions and the following "
+    "disclaimer in the documentation and/or other materials provided with the distribution. "
+)
+_BSD_3 = (
+    "3. Neither the name of the copyright holder nor the names of its contributors may be used to endorse "
+    "or promote products derived from this software without specific prior written permission. "
+)
+# Full licences, searched for by windows only.
+BODIES = [
+    (
+        "MIT",
+        TEMPLATES[4][1] + " The above copyright notice and this permission notice shall be included in all "
+        'copies or substantial portions of the Software. THE SOFTWARE IS PROVIDED "AS IS", WITHOUT WARRANTY '
+        "OF ANY KIND, EXPRESS OR IMPLIED, INCLUDING BUT NOT LIMITED TO THE WARRANTIES OF MERCHANTABILITY, "
+        "FITNESS FOR A PARTICULAR PURPOSE AND NONINFRINGEMENT. IN NO EVENT SHALL THE AUTHORS OR COPYRIGHT "
+        "HOLDERS BE LIABLE FOR ANY CLAIM, DAMAGES OR OTHER LIABILITY, WHETHER IN AN ACTION OF CONTRACT, TORT "
+        "OR OTHERWISE, ARISING FROM, OUT OF OR IN CONNECTION WITH THE SOFTWARE OR THE USE OR OTHER DEALINGS "
+        "IN THE SOFTWARE.",
+    ),
+    ("BSD-3-Clause", _BSD_2 + _BSD_3 + _WARRANTY),
+    *(
+        (name, pkgutil.get_data("wattlake.llm", f"licence_texts/{name}.txt").decode())
+        for name in ("Apache-2.0", "GPL-3.0", "MPL-2.0")
+    ),
+]
 THRESHOLD_PERCENT = 80
 _GAPS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -89,6 +134,86 @@ def templates(spark: SparkSession, rows: list[tuple[str, str]]) -> DataFrame:
     )
 
 
+def anchors(text: str, percent: int) -> dict[str, list[int]]:
+    """Bigrams of a template with their places in it, one more than a matching window can lack.
+
+    Those of long words come first, since they are rare.
+    """
+    w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", re.sub("[A-Z]", lambda m: m[0].lower(), text))
+    places: dict[str, list[int]] = {}
+    for i, pair in enumerate(zip(w, w[1:])):
+        places.setdefault(" ".join(pair), []).append(i)
+    # A window shares n * t / (2 - t) of n bigrams at least.
+    lacking = len(places) + (-len(places) * percent // (200 - percent))
+    rare = sorted(places, key=lambda b: (-min(map(len, b.split(" "))), -len(b), b))
+    return {b: places[b] for b in rare[: lacking + 1]}
+
+
+def _windows(spark: SparkSession, own: DataFrame, rows: list[tuple[str, str]], percent: int) -> DataFrame:
+    """doc_id, key, template, licence, m, n, both of matching windows; own has doc_id, key, text."""
+    places: dict[str, list[tuple[int, int]]] = {}
+    for i, (_, text) in enumerate(rows):
+        for bigram, at in anchors(text, percent).items():
+            places.setdefault(bigram, []).extend((i, k) for k in at)
+    firsts = sorted({b.split(" ")[0] for b in places})
+    lookup = spark.createDataFrame(
+        [(places,)], "places map<string, array<struct<template: int, at: int>>>"
+    )
+    numbered = [(i, licence, text) for i, (licence, text) in enumerate(rows)]
+    table = (
+        spark.createDataFrame(numbered, "template int, licence string, text string")
+        .withColumn("w", words(F.col("text")))
+        .select("template", "licence", F.size("w").alias("length"), bigrams(F.col("w")).alias("bigrams"))
+        .withColumn("n", F.size("bigrams"))
+        .where("n > 0")
+    )
+    pair = lambda i: F.concat_ws(" ", F.get("w", i), F.get("w", i + 1))
+    anchored = (
+        own.select("doc_id", "key", _once(words(F.col("text"))).alias("w"))
+        .where(F.size("w") > 1)
+        .select(
+            "doc_id",
+            "key",
+            "w",
+            _once(
+                F.filter(
+                    F.sequence(F.lit(0), F.size("w") - 2),
+                    lambda i: F.get("w", i).isin(firsts) & pair(i).isin(sorted(places)),
+                )
+            ).alias("at"),
+        )
+        .where(F.size("at") > 0)
+    )
+    # A window's place counts once, however many anchors put it there.
+    begins = F.flatten(
+        F.transform(
+            "at",
+            lambda i: F.transform(
+                F.col("places")[pair(i)],
+                lambda a: F.struct(a["template"].alias("template"), (i - a["at"]).alias("begin")),
+            ),
+        )
+    )
+    cut = F.slice("w", F.greatest("begin", F.lit(0)) + 1, F.col("length") + F.least("begin", F.lit(0)))
+    return (
+        anchored.crossJoin(F.broadcast(lookup))
+        .select("doc_id", "key", "w", F.explode(F.array_distinct(begins)).alias("b"))
+        .select("doc_id", "key", "w", "b.template", "b.begin")
+        .join(F.broadcast(table), "template")
+        .select("doc_id", "key", "template", "licence", "n", "bigrams", _once(bigrams(cut)).alias("own"))
+        .select(
+            "doc_id",
+            "key",
+            "template",
+            "licence",
+            F.size("own").alias("m"),
+            "n",
+            _once(F.size(F.array_intersect("own", "bigrams"))).alias("both"),
+        )
+        .where(2 * 100 * F.col("both") >= percent * (F.col("m") + F.col("n")))
+    )
+
+
 def scan(
     spark: SparkSession,
     docs: DataFrame,
@@ -97,8 +222,10 @@ def scan(
     id_col: str = "doc_id",
     text_col: str = "text",
 ) -> DataFrame:
-    """doc_id, n_units (matching lines, with the whole text where it matches), licences (sorted),
-    best_dice (0 without a match) for each document.
+    """doc_id, n_units, licences (sorted), best_dice (0 without a match) for each document.
+
+    n_units counts matching lines, the whole text where it matches, and each template that only
+    windows match. Windows are also compared with BODIES where rows are not given.
 
     A null or empty text matches nothing. Rows that repeat both id and text are one document. Equal
     units of a document count once; of several templates all that reach the threshold count. An
@@ -132,8 +259,13 @@ def scan(
         .agg(F.count("*").alias("both"))
         .where(200 * F.col("both") >= percent * (F.col("m") + F.col("n")))
     )
+    # Templates keep their number; those of BODIES follow.
+    windows = _windows(spark, own, rows or [*TEMPLATES, *BODIES], percent)
+    found = found.unionByName(windows, allowMissingColumns=True)
+    of = lambda condition: F.collect_set(F.when(condition, F.col("template")))
+    only_windows = F.array_except(of(F.col("unit").isNull()), of(F.col("unit").isNotNull()))
     best = found.groupBy("doc_id", "key").agg(
-        F.countDistinct("unit").alias("n_units"),
+        (F.size(F.collect_set("unit")) + F.size(only_windows)).cast("long").alias("n_units"),
         F.array_join(F.array_sort(F.collect_set("licence")), ",").alias("licences"),
         F.max(2.0 * F.col("both") / (F.col("m") + F.col("n"))).alias("best_dice"),
     )
