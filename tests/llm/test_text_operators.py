@@ -9,6 +9,7 @@ from collections import Counter
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
 from wattlake.llm import (
@@ -86,6 +87,23 @@ def test_jaccard_join_of_a_large_group_of_far_variants(spark):
     assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _components(rows)
 
 
+def test_blocks_of_an_open_group_stay_bounded(spark, values, monkeypatch):
+    sizes = [1, 64, 65, 2560, 80_000, 1_000_000, 10**8]
+    found = values(jaccard_join.blocks_of(F.col("n")), "n long", *sizes)
+    assert found[:4] == [1, 1, 2, 40] and all(n <= 2048 * b for n, b in zip(sizes, found, strict=True))
+    # With more blocks than MOST_BLOCKS the pairs are those of one block.
+    rng = np.random.default_rng(3)
+    base = rng.integers(0, 2**63, 60).astype(np.uint64)
+    own = [np.concatenate([base[: 60 - k % 5], rng.integers(0, 2**63, k % 4).astype(np.uint64)]) for k in range(60)]
+    rows = [(1, k, f"p{k}", len(o), bytearray(jaccard_join.sketch(o).tobytes()), 60) for k, o in enumerate(own)]
+    nodes = spark.createDataFrame(rows, "pivot long, node long, part string, size long, sketch binary, n long")
+    pairs = lambda: {tuple(r) for r in jaccard_join._near_in_blocks(nodes, 90).collect()}
+    one = pairs()
+    monkeypatch.setattr(jaccard_join, "MOST_BLOCKS", 2)
+    monkeypatch.setattr(jaccard_join, "MOST_NODES", 8)
+    assert pairs() == one and len(one) > 100
+
+
 def test_allocations_cover_every_difference():
     for low_size, high in jaccard_join.band_limits(5000):
         for sets in (1, 10**5, 10**9):

@@ -27,7 +27,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from wattlake.llm.arrow import id_and_text, map_in_arrow
@@ -41,6 +41,8 @@ BROADCAST_IDS = 1_000_000
 #: Nodes of a block and most blocks of a group; beyond, blocks grow.
 BLOCK_NODES = 64
 MOST_BLOCKS = 40
+#: Beyond so many nodes a block, groups get more blocks, so that a task's memory is bounded.
+MOST_NODES = 2048
 
 
 @dataclass(frozen=True)
@@ -266,15 +268,20 @@ def _members(docs: DataFrame, size: int) -> DataFrame:
     return _map_sets(docs, size, "node long, size long, members binary, sketch binary", each)
 
 
+def blocks_of(n: Column) -> Column:
+    """Number of blocks of a group of n nodes."""
+    few = F.least(F.ceil(n / BLOCK_NODES), F.lit(MOST_BLOCKS))
+    return F.greatest(few, F.ceil(n / MOST_NODES)).cast("int")
+
+
 def _near_in_blocks(nodes: DataFrame, percent: int) -> DataFrame:
     """Pairs a, b of nodes of one group in different parts that may be linked by their sketches.
 
     nodes: pivot, node, part, size, sketch, n (nodes of the group).
     """
-    blocks = F.least(F.ceil(F.col("n") / BLOCK_NODES), F.lit(MOST_BLOCKS)).cast("int")
     own = F.pmod(F.xxhash64("node", F.lit(7)), F.col("blocks")).cast("int")
     dealt = (
-        nodes.withColumn("blocks", blocks)
+        nodes.withColumn("blocks", blocks_of(F.col("n")))
         .withColumn("own", own)
         .withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
         .select(
