@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -11,13 +12,16 @@ from wattlake.llm import (
     decontaminate,
     importance,
     jaccard_join,
+    language,
     licences,
     line_quality,
     packing,
     pii,
+    runs,
     suffix_tree,
     token_count,
     token_files,
+    whitening,
 )
 from wattlake.session import work_folder
 
@@ -234,3 +238,34 @@ def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
         table(spark, sf_dir, "labels"),
         (F.col("quality") == 1) & (F.col("toxic") == 0),
     )
+
+
+@query("op11_spectrum_whitening")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return whitening.whiten(spark, table(spark, sf_dir, "embeddings"))
+
+
+def tiled(doc_id: object, words: list[bytes]) -> list[bytes]:
+    """Words of a tenth of the documents repeat from some place on, as the contract of op12 says."""
+    h, n = zlib.crc32(str(doc_id).encode()), len(words)
+    if h % 10 or not n or doc_id is None:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    root = words[a : a + p]
+    return words[:a] + (root * ((n - a) // p + 1))[: n - a]
+
+
+@query("op12_periodic_runs")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return runs.digest(runs.find_runs(table(spark, sf_dir, "documents"), prepare=tiled))
+
+
+@query("op13_language_id")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    documents = table(spark, sf_dir, "documents")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2
+    return language.identify(spark, documents, ~held_out).select(
+        "doc_id", F.coalesce(held_out, F.lit(False)).alias("held_out"), "lang_pred", "score"
+    )
