@@ -104,10 +104,12 @@ def _refine(v: np.ndarray, low: float, high: float, done: np.ndarray, norm: floa
     shift, best = (low + high) / 2, None
     for step in range(12):
         x = x - done @ (done.T @ x)
+        if not np.linalg.norm(x):
+            return None
         x = _solve(v, shift, x / np.linalg.norm(x), norm)
         x /= np.abs(x).max()
         x = x - done @ (done.T @ x)
-        x /= np.linalg.norm(x)
+        x /= np.linalg.norm(x) or 1.0
         value = float(x @ v @ x)
         # Two inverse iterations point x into the interval before the shift follows it.
         if step < 1:
