@@ -159,6 +159,18 @@ def test_language_of_unseen_words_and_odd_rows(spark):
     assert language.identify(spark, docs.limit(0), F.lit(True)).count() == 0
 
 
+def test_scores_do_not_depend_on_what_a_worker_keeps(spark, sf_dir, monkeypatch):
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    model = language.fit(spark, docs.where("doc_id % 2 = 0"), most_words=400, most_grams=4000)
+    texts = [r.text for r in docs.orderBy("doc_id").collect()]
+    want = [model.predict([t])[0] for t in texts]
+    monkeypatch.setattr(language, "CACHED", 50)
+    model._all, model._rows = None, {}
+    found = [p for i in range(0, len(texts), 7) for p in model.predict(texts[i : i + 7])]
+    assert [f[0] for f in found] == [w[0] for w in want]
+    assert all(abs(f[1] - w[1]) < 1e-9 for f, w in zip(found, want))
+
+
 def test_language_counts_equal_plain_counts(spark, monkeypatch):
     monkeypatch.setattr(language, "FLUSH", 3)
     docs = spark.createDataFrame([("a b a", "x"), ("A b1c_d", "x"), ("b", "y")] * 3, "text string, language string")

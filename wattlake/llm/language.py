@@ -24,7 +24,7 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from wattlake.llm.arrow import id_and_text, map_in_arrow
+from wattlake.llm.arrow import id_and_text, map_in_arrow, slices
 from wattlake.session import work_folder
 
 #: Most counts (entries times languages) of words and of n-grams that a model holds.
@@ -33,8 +33,8 @@ MOST_WORDS, MOST_GRAMS = 400_000, 400_000
 LONGEST = 5
 #: Counts are summed in a task up to so many different entries, then handed on.
 FLUSH = 200_000
-#: Unseen words whose scores a worker keeps.
-CACHED = 100_000
+#: Unseen words whose scores a worker keeps, and texts that it scores at once.
+CACHED, ROWS = 200_000, 64
 #: Added to each count, in words or n-grams.
 SMOOTHING = 0.5
 #: Letters of a word; a longer one counts as several.
@@ -43,9 +43,14 @@ LONGEST_WORD = 40
 _WORD = re.compile(rf"[^\W\d_]{{1,{LONGEST_WORD}}}")
 
 
-def words_of(text: str) -> list[str]:
-    """Runs of letters in lower case; longer ones in parts of LONGEST_WORD letters."""
-    return _WORD.findall(text.lower())
+def words_of(text: str) -> dict[str, int]:
+    """Runs of letters in lower case with their counts; longer ones in parts of LONGEST_WORD letters."""
+    counts: dict[str, int] = Counter(text.lower().split())
+    for token in [t for t in counts if not t.isalpha() or len(t) > LONGEST_WORD]:
+        times = counts.pop(token)
+        for word in _WORD.findall(token):
+            counts[word] = counts.get(word, 0) + times
+    return counts
 
 
 def grams_of(word: str, n: int) -> list[str]:
@@ -92,7 +97,7 @@ def _counted(table: DataFrame, entries, source: list[str]) -> DataFrame:
 
 def _words(batch: pa.RecordBatch) -> Iterator[tuple[str, Counter]]:
     for text, language in zip(batch.column("text").to_pylist(), batch.column("language").to_pylist()):
-        yield language, Counter(words_of(text))
+        yield language, words_of(text)
 
 
 def _grams(batch: pa.RecordBatch) -> Iterator[tuple[str, Counter]]:
@@ -130,53 +135,74 @@ def _common(counts: DataFrame, most: int) -> DataFrame:
 
 @dataclass
 class Model:
-    """languages: in order. table: entry to row of scores; words stand as they are, n-grams after "\\t"."""
+    """languages: in order. words and grams: entry to row of scores."""
 
     languages: list[str]
     prior: np.ndarray
-    table: dict[str, int]
+    words: dict[str, int]
+    grams: dict[str, int]
     scores: np.ndarray
-    _cache: dict[str, int] = field(default_factory=dict, repr=False)
-
-    def _back_off(self, word: str) -> np.ndarray | None:
-        """Mean score of the longest n-grams of which the model knows one; None without any."""
-        for n in range(min(LONGEST, len(word) + 2), 0, -1):
-            rows = [r for g in grams_of(word, n) if (r := self.table.get("\t" + g)) is not None]
-            if rows:
-                return self.scores[rows].mean(axis=0)
-        return None
-
-    def log_odds(self, text: str) -> np.ndarray:
-        """Log of prior and of all words, for each language; words without any known letter are neutral."""
-        counts = Counter(words_of(text))
-        rows, times, out = [], [], self.prior.copy()
-        get, cache = self.table.get, self._cache
-        for word, n in counts.items():
-            row = get(word)
-            if row is None:
-                row = cache.get(word)
-                if row is None:
-                    row = self._back_off(word)
-                    row = np.zeros(len(self.languages)) if row is None else row
-                    if len(cache) >= CACHED:
-                        cache.clear()
-                    cache[word] = row
-                out += n * row
-            else:
-                rows.append(row)
-                times.append(n)
-        if rows:
-            out += np.array(times, float) @ self.scores[rows]
+    # Words and, after them, unseen words met so far: their rows, and scores with room for more.
+    _rows: dict[str, int] = field(default_factory=dict, repr=False)
+    _all: np.ndarray | None = field(default=None, repr=False)
+
+    def _back_off(self, words: list[str]) -> np.ndarray:
+        """For each word the mean score of its longest n-grams of which the model knows one; 0 without any."""
+        get, rows, sizes = self.grams.get, [], []
+        for word in words:
+            own: list[int] = []
+            for n in range(min(LONGEST, len(word) + 2), 0, -1):
+                own = [r for g in grams_of(word, n) if (r := get(g)) is not None]
+                if own:
+                    break
+            rows += own
+            sizes.append(len(own))
+        size = np.array(sizes)
+        out = np.zeros((len(words), len(self.languages)))
+        some = np.flatnonzero(size)
+        if len(some):
+            begins = np.cumsum(size[some]) - size[some]
+            out[some] = np.add.reduceat(self.scores[rows], begins) / size[some, None]
         return out
 
-    def predict(self, text: str | None) -> tuple[str, float]:
-        """The likeliest language (the first by name of equal ones) and its posterior probability."""
-        if not self.languages or not text or not any(map(str.isalpha, text)):
-            return "und", 0.0
-        odds = self.log_odds(text)
-        odds = np.exp(odds - odds.max())
-        best = int(odds.argmax())
-        return self.languages[best], float(min(1.0, odds[best] / odds.sum()))
+    def log_odds(self, counts: list[dict[str, int]]) -> np.ndarray:
+        """Log of prior and of all words of each text, for each language.
+
+        Words of which not even a letter is known are neutral. Scores of unseen words are kept for
+        the texts to come, up to CACHED of them (or those of one call).
+        """
+        rows = [list(map(self._rows.get, words)) for words in counts]
+        unseen = {w for words, own in zip(counts, rows) if None in own for w, r in zip(words, own) if r is None}
+        base = len(self.scores)
+        if self._all is None or len(self._rows) - len(self.words) + len(unseen) > len(self._all) - base:
+            self._rows = dict(self.words)
+            rows = [[None]] * len(counts)
+            unseen = {w for words in counts for w in words if w not in self._rows}
+            room = np.zeros((max(CACHED, len(unseen)), len(self.languages)))
+            self._all = np.concatenate([self.scores, room])
+        fresh, begin = sorted(unseen), base + len(self._rows) - len(self.words)
+        self._all[begin : begin + len(fresh)] = self._back_off(fresh)
+        self._rows.update(zip(fresh, range(begin, begin + len(fresh))))
+        out = np.tile(self.prior, (len(counts), 1))
+        for words, own, odds in zip(counts, rows, out):
+            if None in own:
+                own = list(map(self._rows.get, words))
+            odds += np.array(list(words.values()), float) @ self._all[np.array(own, np.int64)]
+        return out
+
+    def predict(self, texts: list[str | None]) -> list[tuple[str, float]]:
+        """The likeliest language (the first by name of equal ones) of each text, and its posterior probability."""
+        counts = [words_of(t or "") for t in texts]
+        if not self.languages:
+            return [("und", 0.0)] * len(texts)
+        odds = self.log_odds(counts)
+        odds = np.exp(odds - odds.max(axis=1, keepdims=True))
+        best = odds.argmax(axis=1)
+        score = odds.max(axis=1) / odds.sum(axis=1)
+        return [
+            (self.languages[b], float(p)) if words else ("und", 0.0)
+            for b, p, words in zip(best, score, counts)
+        ]
 
 
 def _log_frequencies(rows: pa.Table, languages: list[str], totals: dict[str, int]) -> tuple[list[str], np.ndarray]:
@@ -206,7 +232,7 @@ def fit(
     ).where("text IS NOT NULL AND language IS NOT NULL")
     tally = {r[0]: r[1] for r in rows.groupBy("language").count().collect()}
     if not tally:
-        return Model([], np.zeros(0), {}, np.zeros((0, 0)))
+        return Model([], np.zeros(0), {}, {}, np.zeros((0, 0)))
     folder = work_folder(spark, "language")
     _counted(rows, _words, ["text", "language"]).write.parquet(f"{folder}/words")
     words = spark.read.parquet(f"{folder}/words")
@@ -220,19 +246,19 @@ def fit(
     gram_totals = {
         (r[0], r[1]): r[2] for r in grams.groupBy(length, "language").agg(F.sum("n")).collect()
     }
-    entries, scores = _log_frequencies(_common(words, most_words // len(languages)).toArrow(), languages, word_totals)
-    table, parts = {e: i for i, e in enumerate(entries)}, [scores]
+    entries, scores = _log_frequencies(
+        _common(words, most_words // len(languages)).toArrow(), languages, word_totals
+    )
+    rows_of_words, rows_of_grams, parts = {e: i for i, e in enumerate(entries)}, {}, [scores]
     found = _common(grams, most_grams // len(languages)).toArrow()
     sizes = pc.utf8_length(found["entry"]).to_numpy()
     for n in range(1, LONGEST + 1):
         own = {name: gram_totals.get((n, name), 0) for name in languages}
         entries, scores = _log_frequencies(found.filter(pa.array(sizes == n)), languages, own)
-        base = len(table)
-        table.update({"\t" + e: base + i for i, e in enumerate(entries)})
+        base = len(rows_of_words) + len(rows_of_grams)
+        rows_of_grams.update({e: base + i for i, e in enumerate(entries)})
         parts.append(scores)
-    return Model(languages, prior, table, np.concatenate(parts))
-
-
+    return Model(languages, prior, rows_of_words, rows_of_grams, np.concatenate(parts))
 
 
 def identify(
@@ -257,8 +283,8 @@ def identify(
 
     def task(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         predict = model.value.predict
-        for batch in batches:
-            answers = [predict(t) for t in batch.column("text").to_pylist()]
+        for batch in (part for whole in batches for part in slices(whole, ROWS)):
+            answers = predict(batch.column("text").to_pylist())
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
