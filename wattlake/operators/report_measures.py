@@ -67,14 +67,14 @@ def generation_over_time(rows: DataFrame, locations: Sequence[str]) -> DataFrame
     """(date, location, mwh) rows of all dates and locations, zeros included.
 
     A location is one of the rows or of the given labels. The names are as few as the location
-    dimension has; they go to each date as one list.
+    dimension has; a scalar subquery finds those of the rows, and every date unfolds the list, so
+    the grid needs no join of all pairs.
     """
     totals = rows.groupBy("date", "location").agg(F.sum("total_generation_mwh").alias("mwh"))
-    own = totals.agg(F.collect_set("location").alias("own"))
+    own = totals.agg(F.collect_set("location").alias("own")).scalar()
     given = F.array(*(F.lit(x) for x in locations)) if locations else F.array().cast("array<string>")
-    names = own.select(F.array_union("own", given).alias("names"), F.lit(1).alias("one"))
-    dates = totals.select("date", F.lit(1).alias("one")).distinct()
-    grid = dates.join(F.broadcast(names), "one").select("date", F.explode("names").alias("location"))
+    dates = totals.select("date").distinct()
+    grid = dates.select("date", F.explode(F.array_union(own, given)).alias("location"))
     return grid.join(totals, ["date", "location"], "left").select(
         "date", "location", F.coalesce("mwh", F.lit(0).cast("decimal(24,7)")).alias("total_generation_mwh")
     )

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from wattlake import schemas
 from wattlake.plans import refresh
@@ -73,6 +74,67 @@ def validate_period(t: Tables):
     )
 
 
+def _sinks(t: Tables, texts, family: str, schema):
+    """Faulty record texts through one pass into both sinks: verdicts read back from the sinks,
+    beside the numbers that the pass reported."""
+    path = work_folder(t.spark, "quarantine") + f"/{family}"
+    marked = landing.mark(landing.records_of_lines(texts, "text", ["id"]), family, ["id"])
+    seen = landing.land_batch(marked, path)
+    kept = T.StructType([T.StructField("id", T.LongType()), *[f for f in schema.fields if f.name != "id"]])
+    landed = landing.read_landed(t.spark, path, kept).select("id", F.lit("landed").alias("verdict"))
+    rejects = landing.read_quarantine(t.spark, path, ["id"]).select("id", F.col("reject_reason").alias("verdict"))
+    return landed.unionByName(rejects).groupBy("verdict").agg(
+        F.count(F.lit(1)).alias("n_rows"), F.sum(F.col("id") % 1000).alias("id_digits"),
+        F.lit(seen["landed"]).alias("landed"), F.lit(seen["rejected"]).alias("rejected"),
+    )
+
+
+def _judged(reason: str, table: str) -> str:
+    return f"""
+SELECT coalesce(reason, 'landed') AS verdict, count(*) AS n_rows, sum(id % 1000) AS id_digits,
+       any_value(n_landed) AS landed, any_value(n_rejected) AS rejected
+FROM (SELECT id, reason, count(*) FILTER (reason IS NULL) OVER () AS n_landed,
+             count(*) FILTER (reason IS NOT NULL) OVER () AS n_rejected
+      FROM (SELECT id, {reason} AS reason FROM {table}))
+GROUP BY ALL"""
+
+
+@query("S04_quarantine", _judged("""CASE WHEN id % 29 = 0 THEN 'malformed JSON'
+             WHEN value IS NULL THEN NULL
+             WHEN id % 29 = 1 THEN CASE WHEN is_first THEN 'value' ELSE 'generation' END || ': no number'
+             WHEN id % 29 = 2 THEN CASE WHEN is_first THEN 'value' ELSE 'generation' END || ': out of range'
+             END""", "first_family"))
+def quarantine(t: Tables):
+    """Some texts are cut off, some values are texts, some are beyond the type."""
+    number, text = r'"(value|generation)":[-+.0-9E]+', F.col("text")
+    fault = F.col("id") % 29
+    faulty = (
+        F.when(fault == 0, F.substring(text, 1, 15))
+        .when(fault == 1, F.regexp_replace(text, number, '"$1":"n/a"'))
+        .when(fault == 2, F.regexp_replace(text, number, '"$1":1e30'))
+        .otherwise(text)
+    )
+    texts = derived.eia_record_texts(t.raw_eia).select("id", faulty.alias("text"))
+    return _sinks(t, texts, "eia", schemas.RAW_EIA)
+
+
+@query("G04_quarantine", _judged("""CASE WHEN id % 31 = 0 THEN 'location must not be blank'
+             WHEN id % 31 = 1 THEN 'period must not be blank' WHEN id % 31 = 2 THEN 'malformed JSON'
+             WHEN id % 31 = 3 AND population IS NOT NULL THEN 'population: no number' END""", "raw_enrichment"))
+def quarantine_blanks(t: Tables):
+    """Blank locations, absent periods, texts that are no object, a population in words."""
+    text, fault = F.col("text"), F.col("id") % 31
+    faulty = (
+        F.when(fault == 0, F.regexp_replace(text, '"location":"[^"]*"', '"location":"  "'))
+        .when(fault == 1, F.regexp_replace(text, '"period":"[^"]*",', ""))
+        .when(fault == 2, F.concat(F.lit("["), text, F.lit("]")))
+        .when(fault == 3, F.regexp_replace(text, '"population":[0-9]+', '"population":"many"'))
+        .otherwise(text)
+    )
+    texts = derived.enrichment_record_texts(t.raw_enrichment).select("id", faulty.alias("text"))
+    return _sinks(t, texts, "enrichment", schemas.RAW_ENRICHMENT)
+
+
 @query("S05_map_eia_batch", _MAPPED_SQL + " WHERE value IS NOT NULL")
 def map_eia_batch(t: Tables):
     return landing.land_eia_pages(derived.eia_pages(t.raw_eia), keep=["id"]).select("id", *_MAPPED)
