@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.operators import joins
-from wattlake.plans import fact, refresh
+from wattlake.plans import fact, incremental, refresh
 from wattlake.registry.core import Tables, query
 from wattlake.registry.landing import _ENRICHED, _ENRICHED_SQL
 from wattlake.registry.models import _fact_sql
@@ -102,3 +102,14 @@ def incremental_refresh(t: Tables):
     months = refresh.changed_months(t.raw_eia.filter(~early), t.raw_enrichment.filter(~early), dims=t.dims)
     refresh.refresh(t.raw_eia, t.raw_enrichment, months, path, t.dims)
     return t.spark.read.parquet(path).select(*fact.OUTPUT_COLUMNS)
+
+
+@query("X05_incremental_state", _fact_sql())
+def incremental_state(t: Tables):
+    """A mart grown by three batches from mergeable state; the third one is sent twice."""
+    mart = incremental.IncrementalMart(t.spark, work_folder(t.spark, "state") + "/mart", t.dims)
+    arrived = F.year("ingestion_timestamp")
+    batches = {"early": arrived < 2023, "2023": arrived == 2023, "late": arrived > 2023}
+    for name, part in [*batches.items(), ("late", batches["late"])]:
+        mart.apply(t.raw_eia.where(part), t.raw_enrichment.where(part), batch=name)
+    return mart.read().select(*fact.OUTPUT_COLUMNS)

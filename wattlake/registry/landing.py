@@ -10,7 +10,7 @@ from wattlake.plans import refresh
 from wattlake.registry.core import Tables, query
 from wattlake.registry.sql import doubles, longs
 from wattlake.session import work_folder
-from wattlake.sources import derived, landing, scans
+from wattlake.sources import derived, landing, scans, versions
 
 _MAPPED = ["source", "series_id", "period", "value", "units", "location", "location_type",
            "energy_source", "sector"]
@@ -270,6 +270,23 @@ def stored_mart(t: Tables):
     )
 
 
+@query("S14_versioned_mart", f"""
+SELECT year, month, location_key, metric_key, {doubles("total_generation_mwh", "total_consumption_mwh",
+       "renewable_percentage", "avg_temperature_fahrenheit")}
+FROM report_rows""")
+def versioned_mart(t: Tables):
+    """A first version of half of the locations, a second of all; the first one expires."""
+    store = versions.VersionedStore(t.spark, work_folder(t.spark, "versions"))
+    rows = refresh.with_partitions(t.fact)
+    for part in (F.col("location_key") <= 5, F.lit(True)):
+        store.commit({"fct_energy_metrics": versions.Write(rows.where(part), ("year", "month"))})
+    store.expire(keep=1)
+    return store.read("fct_energy_metrics", rows.schema).select(
+        "year", "month", "location_key", "metric_key", "total_generation_mwh",
+        "total_consumption_mwh", "renewable_percentage", "avg_temperature_fahrenheit",
+    )
+
+
 _NEWEST = """
 ORDER BY time_key DESC, location_key, avg_temperature_fahrenheit NULLS LAST, population NULLS LAST,
   gdp_per_capita_usd NULLS LAST, industrial_activity_index NULLS LAST LIMIT """
