@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import datetime as dt
+import math
+import random
 from collections import Counter
 
 import pandas as pd
@@ -151,6 +153,29 @@ def test_edge_percentiles(numbers):
     assert set(QUARTILES) == {"p25", "p50", "p75"}
 
 
+def test_percentiles_of_hard_columns(spark):
+    """Values over all magnitudes, infinite ones, neighbours in the last bit, one value only."""
+    rng = random.Random(12)
+    huge = [rng.choice([-1, 1]) * 2.0 ** rng.randint(-1000, 1000) for _ in range(3001)]
+    close = [1.0 + rng.randint(0, 40) * 2**-52 for _ in range(3001)]
+    odd = [rng.choice([float("inf"), -float("inf"), float("nan"), None, 0.0, 1.0, 2.0]) for _ in range(3001)]
+    frame = spark.createDataFrame(list(zip(huge, close, odd, [7.0] * 3001)), "h double, c double, o double, s double").repartition(6)
+    wanted = {}
+    for name, values in {"h": huge, "c": close, "o": odd, "s": [7.0] * 3001}.items():
+        own = sorted(v for v in values if v is not None and v == v)
+        for q, p in QUARTILES.items():
+            at = p * (len(own) - 1)
+            low, high = own[math.floor(at)], own[math.ceil(at)]
+            wanted[name, q] = low if low == high else low + (high - low) * (at - math.floor(at))
+    # Also from intervals that miss the ranks, and from such that hold everything.
+    for accuracy, spoil in ((100, False), (10_000, False), (100, True)):
+        ranges = first_pass(frame, list("hcos"), QUARTILES, accuracy)
+        if spoil:
+            ranges = ranges.withColumns({f"{end}_{q}": F.col("min") for q in QUARTILES for end in ("lo", "hi")})
+        found = exact_percentiles(frame, list("hcos"), ranges, QUARTILES, accuracy)
+        assert {(r.column, r.name): r.value for r in found.collect()} == wanted
+
+
 def test_daily_flow(spark, raw_eia, raw_enrichment, tmp_path):
     eia = raw_eia({"value": 60}, {"energy_source": "coal", "value": 40}, {"location": "TX", "energy_source": "hydro"})
     enrichment = raw_enrichment({}, {"location": "US-TX", "temperature_avg": 200})
