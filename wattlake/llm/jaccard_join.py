@@ -6,7 +6,9 @@ to segments. If the segments' allowances e satisfy sum(e + 1) > H, the two sets
 e shingles in at least one segment. So a segment with e = 0 is indexed by the hash of its subset,
 and one with e = 1 by its subset and all subsets with one shingle deleted. How many segments of
 each kind a band has is chosen by cost: rows to index against the candidates that equal subsets
-of unrelated sets would make, given the number of sets in the band.
+of unrelated sets would make, given the number of sets in the band. Most keys belong to one set
+only; a first exchange of four bytes a key finds those that may be repeated, as a map of bits, and
+only they are written and shuffled with their sets.
 
 Equal sets are one node. The nodes of a key are not paired with each other. Each key has a pivot,
 the node that shares most keys with others, and the nodes of all keys of a pivot are its group; two
@@ -34,6 +36,10 @@ from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import Words, chunks, combine, mix, words_of
 from wattlake.session import work_folder
 
+#: Hashes of keys that a bucket of the search for repeated keys holds, about (4 bytes each).
+BUCKET_KEYS = 2_000_000
+#: Bits of the map of repeated keys that goes to all tasks: at least, at most (32 MB).
+LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 #: Width of a size band: its smallest size over its largest.
 BAND_RATIO = 0.65
 #: Most ids that are sent to all executors (8 bytes each); beyond, Spark shuffles.
@@ -214,22 +220,120 @@ def _sets(docs: DataFrame, size: int) -> DataFrame:
     return _map_sets(docs, size, f"doc_id {kind}, n_shingles long, node long", each)
 
 
-def _index(docs: DataFrame, size: int, percent: int, bands: list[Band]) -> DataFrame:
-    """Keys of all sets; copies within a task are indexed once."""
-    highs = np.array([b.high for b in bands], np.int64)
-
-    def each(ids, values, begins, nodes, pick):
-        sizes = np.diff(begins)[pick]
-        own = np.searchsorted(highs, sizes)
-        reach = np.searchsorted(highs, 100 * sizes // percent)
-        for number, band in enumerate(bands):
-            at = pick[(sizes > 0) & ((own == number) | ((own < number) & (reach >= number)))]
-            if not len(at):
-                continue
+def _keyed(highs: np.ndarray, bands: list[Band], percent: int, begins, values, pick):
+    """(keys, rows of pick's texts) by band, for the texts that pick names."""
+    sizes = np.diff(begins)[pick]
+    own = np.searchsorted(highs, sizes)
+    reach = np.searchsorted(highs, 100 * sizes // percent)
+    for number, band in enumerate(bands):
+        at = pick[(sizes > 0) & ((own == number) | ((own < number) & (reach >= number)))]
+        if len(at):
             cuts = np.concatenate([[0], np.cumsum(begins[at + 1] - begins[at])])
             some = np.concatenate([values[begins[i] : begins[i + 1]] for i in at])
             keys, sets = keys_of(some, cuts, band, number, percent)
-            yield [pa.array(keys, pa.int64()), pa.array(nodes[at][sets], pa.int64())]
+            yield keys, at[sets]
+
+
+def key_estimate(bands: list[Band], held: dict[int, int]) -> int:
+    """About as many keys as sets have, by the number of sets of each band."""
+    return sum(
+        held.get(b.high, 0) * int(b.exact + b.deletion * (1 + b.high / (b.exact + b.deletion))) for b in bands
+    )
+
+
+def _repeated_keys(docs: DataFrame, size: int, percent: int, bands: list[Band], bits: int) -> DataFrame:
+    """The first 32 + bits bits of keys of which there may be two, as h.
+
+    Most keys are had by one set only and need no shuffle of their own. Here a key travels as four
+    bytes, dealt by its first bits to buckets of BUCKET_KEYS or so; a bucket's numbers that occur
+    twice are repeated keys, or, with a chance below one in a thousand, single ones that look so.
+    """
+    highs = np.array([b.high for b in bands], np.int64)
+
+    def each(ids, values, begins, nodes, pick):
+        found = [keys for keys, _ in _keyed(highs, bands, percent, begins, values, pick)]
+        if not found:
+            return
+        short = np.concatenate(found).view(np.uint64) >> np.uint64(32 - bits)
+        short.sort()
+        bucket = (short >> np.uint64(32)).astype(np.int64)
+        opens = np.flatnonzero(np.diff(bucket, prepend=-1))
+        rest = short.astype(np.uint32).view(np.uint8)
+        cuts = np.append(opens, len(short)).astype(np.int32) * 4
+        binary = pa.Array.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(cuts), pa.py_buffer(rest)])
+        yield [pa.array(bucket[opens], pa.int64()), binary]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[bytes] = []
+        bucket = None
+
+        def repeated() -> pa.RecordBatch:
+            rest = np.frombuffer(b"".join(waiting), np.uint32).copy()
+            rest.sort()
+            twice = np.unique(rest[1:][rest[1:] == rest[:-1]]).astype(np.int64)
+            return pa.RecordBatch.from_arrays([pa.array(twice + (bucket << 32), pa.int64())], names=["h"])
+
+        for batch in batches:
+            for own, rest in zip(batch.column("bucket").to_pylist(), batch.column("rest").to_pylist()):
+                if own != bucket and waiting:
+                    yield repeated()
+                    waiting.clear()
+                bucket = own
+                waiting.append(rest)
+        if waiting:
+            yield repeated()
+
+    dealt = _map_sets(docs, size, "bucket long, rest binary", each, dedupe=True)
+    return map_in_arrow(dealt.repartition("bucket").sortWithinPartitions("bucket"), run, "h long")
+
+
+def _bit_map(repeated: DataFrame) -> np.ndarray:
+    """A bit for each h modulo a power of two, 16 bits a number while that stays below MOST_BITS.
+
+    Spark sets the bits; the driver gets blocks of 4 KB, 32 MB in all at most. Beyond 16 million
+    repeated keys more single ones pass; none that is repeated is ever lost.
+    """
+    size = LEAST_BITS
+    count = repeated.count()
+    while size < min(16 * count, MOST_BITS):
+        size *= 2
+    place = F.col("h").bitwiseAND(F.lit(size - 1))
+    blocks = (
+        repeated.select(place.alias("place"))
+        .groupBy(F.bitmap_bucket_number("place").alias("block"))
+        .agg(F.bitmap_construct_agg(F.bitmap_bit_position("place")).alias("bits"))
+        .toArrow()
+    )
+    # Position 0 lies in block 0 by Spark's numbering of its own; all others from block 1 on.
+    out = np.zeros((size // 32768 + 2, 4096), np.uint8)
+    for block, bits in zip(blocks["block"].to_pylist(), blocks["bits"].to_pylist()):
+        own = np.frombuffer(bits, np.uint8)
+        out[block, : len(own)] = own
+    return out
+
+
+def bits_are_set(bit_map: np.ndarray, h: np.ndarray, size: int) -> np.ndarray:
+    """Whether the map has the bits of h, by the numbering of Spark's bitmap functions."""
+    place = h & (size - 1)
+    # From 1 on, 32768 places a block; the bit of a place counts from the block's first.
+    block = np.where(place > 0, 1 + (place - 1) // 32768, 0)
+    bit = np.where(place > 0, (place - 1) % 32768, 0)
+    return (bit_map[block, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
+
+
+def _index(
+    docs: DataFrame, size: int, percent: int, bands: list[Band], bits: int, bit_map
+) -> DataFrame:
+    """Keys of all sets that may be repeated; copies within a task are indexed once."""
+    highs = np.array([b.high for b in bands], np.int64)
+
+    def each(ids, values, begins, nodes, pick):
+        whole = bit_map.value
+        places = (len(whole) - 2) * 32768
+        for keys, sets in _keyed(highs, bands, percent, begins, values, pick):
+            h = (keys.view(np.uint64) >> np.uint64(32 - bits)).view(np.int64)
+            may = bits_are_set(whole, h, places)
+            yield [pa.array(keys[may], pa.int64()), pa.array(nodes[sets[may]], pa.int64())]
 
     return _map_sets(docs, size, "key long, node long", each, dedupe=True)
 
@@ -466,14 +570,17 @@ def near_duplicates(
     held = {r["high"]: r["n"] for r in nodes.groupBy(high.alias("high")).agg(F.count("*").alias("n")).collect()}
     bands = [allocate(a, b, held.get(b, 0), percent) for a, b in limits]
 
-    index = _index(source, shingle_words, percent, bands)
+    bits = min(24, max(6, math.ceil(math.log2(max(1, key_estimate(bands, held) / BUCKET_KEYS)))))
+    repeated = store(_repeated_keys(source, shingle_words, percent, bands, bits))
+    bit_map = spark.sparkContext.broadcast(_bit_map(repeated))
+    index = store(_index(source, shingle_words, percent, bands, bits, bit_map))
     shared = (
         index.groupBy("key")
         .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
         .where("low < high")
         .select("key", "n")
     )
-    # Only keys with two sets or more are kept.
+    # Only keys of two different sets or more are kept.
     buckets = store(index.join(shared, "key").distinct())
     weight = store(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
     pivots = (
