@@ -19,7 +19,7 @@ def test_query_equals_its_sql(spark, sf_dir, name):
 
 def test_every_operator_and_the_pipeline_are_registered():
     names = entry.queries()
-    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 11)) and "pipeline" in names
+    assert all(any(n.startswith(f"op{i}_") for n in names) for i in range(1, 14)) and "pipeline" in names
 
 
 def test_stages_filter_and_keep_the_columns(spark, sf_dir):
