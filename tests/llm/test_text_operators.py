@@ -325,47 +325,94 @@ def test_windows_and_gradients():
 # Suffix tree
 
 
+def _tree_scores(tokens, held, settings):
+    """Gains over the root by the definition, with contexts as tuples of words."""
+    texts = [tokens[i] for i in tokens if not held[i]]
+    total = sum(map(len, texts))
+    kinds = len({w for t in texts for w in t})
+    words = Counter(w for t in texts for w in t)
+    own = {((), w): n / total for w, n in words.items()}
+    q = {((), w): (n + 1) / (total + kinds + 1) for w, n in words.items()}
+    root, less, levels = dict(q), {}, 0
+    candidates = {(w,): n for w, n in words.items() if w and n >= settings.least_context}
+    while candidates:
+        levels += 1
+        found = Counter((tuple(t[i - levels : i]), t[i]) for t in texts for i in range(levels, len(t)))
+        grown = {}
+        for c, n in candidates.items():
+            after = {w: m for (d, w), m in found.items() if d == c and m >= settings.least_pair}
+            after = {w: m for w, m in after.items() if (c[1:], w) in own}
+            if not after:
+                continue
+            g = sum(2 * m * math.log(m / n / own[c[1:], w]) for w, m in after.items())
+            rest, t = n - sum(after.values()), len(after)
+            if rest:
+                g += 2 * rest * math.log(rest / n / max(1 - sum(own[c[1:], w] for w in after), 1e-12))
+            if g < t + 3.1 * math.sqrt(2 * t) + 6:
+                continue
+            less[c] = (rest + t) / (n + t)
+            for w, m in after.items():
+                own[c, w], q[c, w] = m / n, m / (n + t) + less[c] * q[c[1:], w]
+                if w and m >= settings.least_context:
+                    grown[(*c, w)] = m
+        candidates = {c: n for c, n in grown.items() if c[1:] in less}
+
+    def gain(text):
+        out = 0.0
+        for i, w in enumerate(text):
+            value, k = 0.0, 1
+            while k <= i and tuple(text[i - k : i]) in less:
+                c = tuple(text[i - k : i])
+                value = math.log10(q[c, w] / root[(), w]) if (c, w) in q else value + math.log10(less[c])
+                k += 1
+            out += value
+        return out
+
+    return {i: gain(t) for i, t in tokens.items()}, less
+
+
 def test_base_scores_and_tree_equal_brute_force(spark):
     rng = random.Random(9)
     words = ["the", "An", "of", "é", "x1", "thin", "there"]
-    rows = [(i, " ".join(rng.choice(words) for _ in range(rng.randint(0, 60)))) for i in range(80)] + [(500, None)]
-    found = {r.doc_id: r for r in suffix_tree.score(spark, docs_of(spark, rows, "score int")).collect()}
+    phrases = ["the end of An x1", "of An thin", "é é there the of", *words]
+    rows = [(i, " ".join(rng.choice(phrases) for _ in range(rng.randint(0, 60)))) for i in range(80)]
+    rows += [(500, None), (501, "rare the end of An rarer"), (502, "the " * 3000)]
+    docs = docs_of(spark, rows, "score int")
+    settings = suffix_tree.Settings(least_context=6, least_pair=2)
+    found = {r.doc_id: r for r in suffix_tree.score(spark, docs, settings=settings).collect()}
     tokens = {i: [*re.findall(WORD, low(t)), None] for i, t in rows}
     held = {i: zlib.crc32(str(i).encode()) % 7 == 2 for i, _ in rows}
     counts = Counter(w for i in tokens if not held[i] for w in tokens[i])
     total = sum(counts.values())
+    gains, less = _tree_scores(tokens, held, settings)
+    assert max(map(len, less)) >= 3
     for i, own in tokens.items():
         base = sum(math.log10((counts[w] + 1) / (total + len(counts) + 1)) for w in own)
         r = found[i]
         assert (r.held_out, r.n_tokens, r.train_tokens) == (held[i], len(own), total)
         assert r.n_known == sum(counts[w] > 0 for w in own)
-        assert abs(r.base_score - base) < 1e-9 and -1e6 < r.score < 0
-    held_tokens = sum(found[i].n_tokens for i in held if held[i])
-    assert sum(found[i].score for i in held if held[i]) / held_tokens > -2.5
+        assert abs(r.base_score - base) < 1e-6
+        assert abs(r.score - base - gains[i]) < 1e-4 * len(own) + 1e-6
+    held_ids = [i for i in held if held[i]]
+    assert sum(found[i].score for i in held_ids) > sum(found[i].base_score for i in held_ids)
+    # With few keys in the tasks and bitmaps that hold nearly anything, the joins give the same.
+    few = suffix_tree.Settings(least_context=6, least_pair=2, head_keys=9, bitmap_bits=8)
+    for r in suffix_tree.score(spark, docs, settings=few).collect():
+        assert abs(r.score - found[r.doc_id].score) < 1e-4 * r.n_tokens + 1e-6
     assert suffix_tree.score(spark, docs_of(spark, rows).limit(0)).count() == 0
 
-    tree = suffix_tree.train(docs_of(spark, rows).select("text").na.fill(""), suffix_tree.Settings())
-    logs = tree.log10()
-    texts = [(t or "").encode() for _, t in rows] + [b" ", b"a\x00b", b"\n x \t"]
 
-    def brute(text):
-        s = [suffix_tree.END] * suffix_tree.DEPTH
-        for w in re.findall(rb"[^\x20\x09-\x0D]+", text.lower()):
-            s += [int(tree.table[b]) for b in w + b" "]
-        s.append(suffix_tree.END)
-        out = 0.0
-        for i in range(suffix_tree.DEPTH, len(s)):
-            node = deepest = 0
-            for k in range(1, suffix_tree.DEPTH + 1):
-                node = int(tree.child[node, s[i - k]])
-                if not node:
-                    break
-                deepest = node
-            out += logs[tree.state[deepest], s[i]]
-        return out
+def test_more_text_grows_the_tree(spark):
+    rng = random.Random(10)
+    words = [f"w{i}" for i in range(40)]
+    text = lambda: " ".join(w for _ in range(60) for w in rng.choice([words[:2], words[2:5], [rng.choice(words)]]))
+
+    def contexts(n):
+        docs = spark.createDataFrame([(text(),) for _ in range(n)], "text string")
+        vocabulary = suffix_tree.word_counts(docs)
+        return suffix_tree.train(spark, docs, vocabulary, n, suffix_tree.Settings())[0].count()
 
-    assert np.allclose(tree.score(texts, logs), [brute(t) for t in texts])
-    assert len(set(tree.state)) > 5
+    assert 0 < contexts(20) < contexts(200)
 
 
 # Importance resampling

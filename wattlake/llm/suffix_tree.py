@@ -1,24 +1,30 @@
-"""Language-model scores: a unigram base over words, and a probabilistic suffix tree over symbols.
-
-Text of the model: words (parted by ASCII white space, A-Z in lower case), each followed by a
-blank, and one end. Symbols are the most frequent bytes of the training texts, the end, and one
-symbol for all other bytes, which share its probability evenly.
-
-The tree grows level by level, and every level counts all training texts. A context is a
-candidate when it has at least a share p_min of all symbols, so a level has at most 1 / p_min
-candidates whatever the input. It is retained when its next-symbol distribution diverges from that
-of its suffix: by a G-test, and by least_bits at least. Distributions are smoothed into those of
-the suffix (Witten-Bell), the root's into the uniform one. Each symbol of a text is scored in the
-state of the longest retained suffix of what precedes it; texts do not reach into each other.
-
-Word counts are aggregated over 64-bit hashes. The most frequent words, a bounded number, go to
-all tasks as arrays; the others are joined by a shuffle.
+"""Language-model scores: a unigram base over words, and a probabilistic suffix tree over words.
+
+Symbols are the words of a text (parted by ASCII white space, A-Z in lower case) and one end. A
+context is a sequence of words; its state predicts the next symbol.
+
+The tree grows level by level as Spark tables. A sequence of k words is a candidate context if it
+occurs least_context times, the sequence without its last word is a candidate, and the one without
+its first word, its suffix, is retained. A candidate is retained if its next-symbol distribution
+diverges from that of its suffix by a G-test. Levels are added while contexts are retained: the minima
+are absolute, so that the tree grows with the training texts in width and depth.
+
+Distributions are smoothed into those of the suffix (Witten-Bell), and the root's is the base:
+P(x|c) = n(c,x) / (n(c) + t(c)) + l(c) P(x|suffix of c) for the t(c) symbols x seen least_pair times
+or more after c, and l(c) P(x|suffix) for all others, where l(c) makes the sum one. Each symbol is
+scored in the state of the longest retained suffix of what precedes it in its text.
+
+A sequence is known by a 64-bit polynomial of its words' hashes. Bitmaps of hashes, of a fixed size,
+tell tasks which positions may count; joins then part what shares a bit. Of the model the most
+frequent keys, a bounded number, go to all tasks as arrays, and bitmaps of the others; positions
+that these bitmaps cannot settle are joined with the whole tables by a shuffle. Word counts of
+the base travel in the same way.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from dataclasses import dataclass, field
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -30,161 +36,127 @@ from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import chunks, words_of
 from wattlake.session import work_folder
 
-SYMBOLS = 96
-#: The last two symbols: any other byte, and the end.
-OTHER, END = SYMBOLS - 2, SYMBOLS - 1
-DEPTH = 4
 HEAD_WORDS = 1 << 17
-_PAD = b"\n" + b"\xff" * DEPTH
+#: The end's hash, and the base of the polynomial of a sequence (odd).
+END = np.uint64(0x5851F42D4C957F2D)
+BASE = np.uint64(0xD1342543DE82EF95)
 
 
 @dataclass(frozen=True)
 class Settings:
-    p_min: float = 1 / 1500
-    least_bits: float = 0.002
-    #: G of the test: 95 degrees of freedom at the 0.1 % level.
-    least_g: float = 143.0
+    least_context: int = 32
+    least_pair: int = 4
+    #: Keys of contexts and of pairs that travel to all tasks: 12 bytes each.
+    head_keys: int = 1 << 21
+    #: Bits of a bitmap, as a power of two.
+    bitmap_bits: int = 27
+
 
+@dataclass
+class Symbols:
+    """Words of some texts with an end after each; age is a symbol's place in its text."""
 
-def symbol_table(byte_counts: np.ndarray) -> np.ndarray:
-    """Symbol of each byte: the most frequent ones in order of their value; the rest OTHER."""
-    table = np.full(256, OTHER, np.int64)
-    counts = byte_counts.copy()
-    counts[0xFF] = 0
-    some = np.sort(np.argsort(-counts, kind="stable")[: SYMBOLS - 2])
-    some = some[counts[some] > 0]
-    table[some] = np.arange(len(some))
-    table[0xFF] = END
-    return table
+    codes: np.ndarray
+    owner: np.ndarray
+    age: np.ndarray
 
+    def longer(self, keys: np.ndarray) -> np.ndarray:
+        """Keys of sequences of one more symbol, from those that end one symbol earlier."""
+        out = self.codes.copy()
+        out[1:] += BASE * keys[:-1]
+        return out
 
-def stream(texts: list[bytes]) -> np.ndarray:
-    """Bytes of the model's text: DEPTH ends (0xFF, never in UTF-8), then each text with its ends."""
-    data = np.frombuffer(b"".join([_PAD[1:], *(t.lower() + _PAD for t in texts)]), np.uint8)
-    space = (data == 0x20) | ((data >= 0x09) & (data <= 0x0D))
-    keep = ~space
-    keep[1:] |= ~space[:-1] & (data[:-1] != 0xFF)
-    out = data[keep]
-    out = out.copy()
-    out[space[keep]] = 0x20
-    return out
 
+def symbols_of(texts: list[bytes]) -> Symbols:
+    words = words_of(texts, lower=True)
+    size = np.diff(words.first)
+    owner = np.repeat(np.arange(len(texts)), size + 1)
+    opens = words.first[:-1] + np.arange(len(texts))
+    codes = np.full(len(owner), END, np.uint64)
+    codes[np.arange(len(words.hashes)) + np.repeat(np.arange(len(texts)), size)] = words.hashes
+    return Symbols(codes, owner, np.arange(len(owner)) - opens[owner])
 
-def byte_counts(texts: list[bytes]) -> np.ndarray:
-    return np.bincount(stream(texts), minlength=256)
 
+class Bitmap:
+    """A set of 64-bit keys by their first bits; may say yes to a key it does not hold."""
 
-@dataclass
-class Tree:
-    """Nodes are contexts; child[node, symbol] is the context with that symbol put in front.
+    def __init__(self, bits: int, places: np.ndarray, words: np.ndarray):
+        self.shift = np.uint64(64 - bits)
+        self.words = np.zeros(1 << (bits - 6), np.uint64)
+        self.words[places] = words.view(np.uint64)
 
-    state is the node itself if it is retained, else its longest retained suffix. counts holds the
-    next symbols of each node, parent its suffix.
-    """
+    def may_hold(self, keys: np.ndarray) -> np.ndarray:
+        place = keys >> self.shift
+        return (self.words[place >> np.uint64(6)] >> (place & np.uint64(63))) & np.uint64(1) == 1
+
+
+def _bitmap(keys: DataFrame, column: str, bits: int) -> Bitmap:
+    """Collected as at most 2 ** (bits - 6) longs, however many keys there are."""
+    place = F.shiftrightunsigned(F.col(column), 64 - bits)
+    words = keys.groupBy(F.shiftright(place, 6).cast("int").alias("place")).agg(
+        F.bit_or(F.expr(f"shiftleft(1L, CAST(shiftrightunsigned({column}, {64 - bits}) & 63 AS INT))")).alias("bits")
+    )
+    rows = words.toArrow()
+    return Bitmap(bits, rows["place"].to_numpy(), rows["bits"].to_numpy())
+
+
+def _pairs(docs: DataFrame, depth: int, contexts, suffix_pairs) -> DataFrame:
+    """context, pair, suffix_pair, n of the positions whose context and suffix's pair may count."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        size = 0
+
+        def flush() -> pa.RecordBatch:
+            rows = np.concatenate(waiting, axis=1)
+            _, where, n = np.unique(rows[1], return_index=True, return_counts=True)
+            columns = [pa.array(c[where].view(np.int64)) for c in rows]
+            return pa.RecordBatch.from_arrays(
+                [*columns, pa.array(n, pa.int64())], names=["context", "pair", "suffix_pair", "n"]
+            )
+
+        for batch in batches:
+            for _, texts in chunks(batch):
+                s = symbols_of(texts)
+                shorter = s.codes
+                for _ in range(depth - 1):
+                    shorter = s.longer(shorter)
+                at = np.flatnonzero(s.age >= depth)
+                at = at[contexts.value.may_hold(shorter[at - 1])]
+                pair = s.codes[at] + BASE * shorter[at - 1]
+                if depth > 1:
+                    use = suffix_pairs.value.may_hold(shorter[at])
+                else:
+                    use = suffix_pairs.value.may_hold(pair)
+                at, pair = at[use], pair[use]
+                waiting.append(np.stack([shorter[at - 1], pair, shorter[at]]))
+                size += len(at)
+                if size > 2_000_000:
+                    yield flush()
+                    waiting.clear()
+                    size = 0
+        if waiting:
+            yield flush()
+
+    found = map_in_arrow(docs, run, "context long, pair long, suffix_pair long, n long")
+    return found.groupBy("context", "pair", "suffix_pair").agg(F.sum("n").alias("n"))
+
+
+def _repeated(docs: DataFrame, contexts, least: int) -> DataFrame:
+    """First halves of pairs of two words that may occur least times, as keys for a bitmap."""
+
+    def each(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
+        s = symbols_of(texts)
+        at = np.flatnonzero(s.age >= 1)
+        at = at[contexts.value.may_hold(s.codes[at - 1])]
+        pair = s.codes[at] + BASE * s.codes[at - 1]
+        return np.unique((pair >> np.uint64(32)).astype(np.uint32).view(np.int32), return_counts=True)
+
+    halves = _sum_counts(docs, each, "int").where(F.col("n") >= least)
+    return halves.select(F.shiftleft(F.col("code").cast("long"), 32).alias("key"))
 
-    table: np.ndarray
-    others: int
-    settings: Settings
-    child: np.ndarray = field(default_factory=lambda: np.zeros((1, SYMBOLS), np.int32))
-    counts: np.ndarray = field(default_factory=lambda: np.zeros((1, SYMBOLS), np.int64))
-    parent: list[int] = field(default_factory=lambda: [0])
-    state: list[int] = field(default_factory=lambda: [0])
-    level: list[int] = field(default_factory=lambda: [0])
-
-    def walk(self, symbols: np.ndarray, depth: int) -> np.ndarray:
-        """The node of each symbol's history, at most that deep; 0 means no longer context."""
-        node = np.zeros(len(symbols), np.int32)
-        deepest = node
-        alive = np.ones(len(symbols), bool)
-        for k in range(1, depth + 1):
-            before = np.full(len(symbols), END, np.int64)
-            before[k:] = symbols[:-k]
-            node = self.child[node, before]
-            alive &= node > 0
-            node = np.where(alive, node, 0)
-            deepest = np.where(alive, node, deepest)
-        return deepest
-
-    def grow(self, codes: np.ndarray, counts: np.ndarray, depth: int) -> None:
-        """Add the contexts of one more level; codes are (node * SYMBOLS + symbol) * SYMBOLS + next."""
-        context, following = np.divmod(codes, SYMBOLS)
-        names, where = np.unique(context, return_inverse=True)
-        table = np.zeros((len(names), SYMBOLS), np.int64)
-        np.add.at(table, (where, following), counts)
-        total = int(self.counts[0].sum())
-        big = table.sum(axis=1) >= self.settings.p_min * total
-        names, table = names[big], table[big]
-        first = len(self.parent)
-        self.child = np.concatenate([self.child, np.zeros((len(names), SYMBOLS), np.int32)])
-        self.counts = np.concatenate([self.counts, table])
-        for i, name in enumerate(names.tolist()):
-            suffix, symbol = divmod(name, SYMBOLS)
-            node = first + i
-            self.child[suffix, symbol] = node
-            self.parent.append(suffix)
-            self.level.append(depth)
-            self.state.append(node if self.diverges(node, suffix) else self.state[suffix])
-
-    def diverges(self, node: int, suffix: int) -> bool:
-        n = self.counts[node].sum()
-        own = self.counts[node] / n
-        other = self.counts[suffix] / self.counts[suffix].sum()
-        seen = own > 0
-        nats = float((own[seen] * np.log(own[seen] / other[seen])).sum())
-        return 2 * n * nats >= self.settings.least_g and nats / np.log(2) >= self.settings.least_bits
-
-    def log10(self) -> np.ndarray:
-        """log10 probability of each next symbol in each node."""
-        out = np.zeros(self.counts.shape)
-        uniform = np.full(SYMBOLS, 1 / SYMBOLS)
-        for node in range(len(self.parent)):
-            below = out[self.parent[node]] if node else uniform
-            n, kinds = self.counts[node].sum(), np.count_nonzero(self.counts[node])
-            out[node] = (self.counts[node] + kinds * below) / (n + kinds) if n else below
-        logs = np.log10(out)
-        logs[:, OTHER] -= np.log10(max(self.others, 1))
-        return logs
-
-    def score(self, texts: list[bytes], logs: np.ndarray) -> np.ndarray:
-        """log10 probability of each text."""
-        symbols = self.table[stream(texts)]
-        state = np.asarray(self.state, np.int32)[self.walk(symbols, DEPTH)]
-        value = logs[state, symbols]
-        ends = np.flatnonzero(symbols == END).reshape(-1, DEPTH)
-        value[:DEPTH] = 0
-        value[ends[1:, 1:].ravel()] = 0
-        sums = np.cumsum(value)
-        return np.diff(sums[np.concatenate([[DEPTH - 1], ends[1:, 0]])])
-
-
-def level_counts(tree: Tree, texts: list[bytes], depth: int) -> tuple[np.ndarray, np.ndarray]:
-    """How often each symbol follows each context of one level, as codes for Tree.grow."""
-    symbols = tree.table[stream(texts)]
-    ends = np.flatnonzero(symbols == END).reshape(-1, DEPTH)
-    predicted = np.ones(len(symbols), bool)
-    predicted[:DEPTH] = False
-    predicted[ends[1:, 1:].ravel()] = False
-    if depth == 0:
-        codes = symbols[predicted]
-        found = np.bincount(codes, minlength=SYMBOLS)
-        at = np.flatnonzero(found)
-        return at, found[at]
-    above = np.asarray(tree.level) == depth - 1
-    number = np.cumsum(above) - 1
-    node = tree.walk(symbols, depth - 1)
-    use = predicted & above[node]
-    at = np.flatnonzero(use)
-    before = symbols[at - depth]
-    code = (number[node[at]] * SYMBOLS + before) * SYMBOLS + symbols[at]
-    found = np.bincount(code)
-    hit = np.flatnonzero(found)
-    names = np.flatnonzero(above)
-    context, following = np.divmod(hit, SYMBOLS)
-    local, symbol = np.divmod(context, SYMBOLS)
-    return (names[local] * SYMBOLS + symbol) * SYMBOLS + following, found[hit]
-
-
-def _sum_counts(docs: DataFrame, each) -> DataFrame:
+
+def _sum_counts(docs: DataFrame, each, kind: str = "long") -> DataFrame:
     """Sum of (code, n) over all texts; each task emits every code once for some megabytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -194,9 +166,7 @@ def _sum_counts(docs: DataFrame, each) -> DataFrame:
         def flush() -> pa.RecordBatch:
             codes, where = np.unique(np.concatenate([c for c, _ in waiting]), return_inverse=True)
             n = np.bincount(where, np.concatenate([n for _, n in waiting])).astype(np.int64)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(codes, pa.int64()), pa.array(n, pa.int64())], names=["code", "n"]
-            )
+            return pa.RecordBatch.from_arrays([pa.array(codes), pa.array(n)], names=["code", "n"])
 
         for batch in batches:
             for _, texts in chunks(batch):
@@ -210,41 +180,97 @@ def _sum_counts(docs: DataFrame, each) -> DataFrame:
         if waiting:
             yield flush()
 
-    return map_in_arrow(docs, run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
-
-
-def _collected(counts: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """Counts of a level; at most candidates of the level above times SYMBOLS squared."""
-    rows = counts.toArrow()
-    return rows["code"].to_numpy(), rows["n"].to_numpy()
-
-
-def train(docs: DataFrame, settings: Settings) -> Tree:
-    """The tree over all texts of a table with a text column."""
-    codes, n = _collected(_sum_counts(docs, lambda t: (np.arange(256), byte_counts(t))))
-    counts = np.zeros(256, np.int64)
-    counts[codes] = n
-    table = symbol_table(counts)
-    tree = Tree(table, int((table == OTHER).sum()), settings)
-    for depth in range(DEPTH + 1):
-        found = _sum_counts(docs, lambda t, d=depth, tree=tree: level_counts(tree, t, d))
-        if depth:
-            # Small contexts are dropped before they are collected.
-            context = F.floor(F.col("code") / SYMBOLS)
-            total = int(tree.counts[0].sum())
-            big = (
-                found.groupBy(context.alias("context"))
-                .agg(F.sum("n").alias("of"))
-                .where(F.col("of") >= settings.p_min * total)
-                .select("context")
+    return map_in_arrow(docs, run, f"code {kind}, n long").groupBy("code").agg(F.sum("n").alias("n"))
+
+
+def train(
+    spark: SparkSession, docs: DataFrame, vocabulary: DataFrame, ends: int, settings: Settings
+) -> tuple[DataFrame, DataFrame, int]:
+    """Contexts (key, n, value: log10 of l), pairs (key, n, value: log10 P minus the root's), depth.
+
+    vocabulary: code and n of each word of the texts; docs: their text column.
+    """
+    folder = work_folder(spark, "suffix-tree-levels")
+    sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+    tokens, kinds = sums[0] + ends, sums[1] + 1
+    end = spark.range(1 if ends else 0).select(
+        F.lit(int(END.view(np.int64))).alias("code"), F.lit(ends).cast("long").alias("n")
+    )
+    first = (F.col("n") + 1) / F.lit(float(tokens + kinds + 1))
+    upper = vocabulary.unionByName(end).select(
+        F.col("code").alias("suffix_pair"),
+        (F.col("n") / F.lit(float(max(tokens, 1)))).alias("q_own"),
+        first.alias("q"),
+        F.log10(first).alias("root"),
+    )
+    candidates = vocabulary.where(F.col("n") >= settings.least_context).select(
+        F.col("code").alias("context"), F.col("n").alias("n_context")
+    )
+    depth = 0
+    while candidates.limit(1).count():
+        depth += 1
+        share = spark.sparkContext.broadcast
+        contexts = share(_bitmap(candidates, "context", settings.bitmap_bits))
+        if depth == 1:
+            pairs = share(_bitmap(_repeated(docs, contexts, settings.least_pair), "key", settings.bitmap_bits))
+        else:
+            pairs = share(_bitmap(upper, "suffix_pair", settings.bitmap_bits))
+        rows = (
+            _pairs(docs, depth, contexts, pairs)
+            .where(F.col("n") >= settings.least_pair)
+            .join(candidates, "context")
+            .join(upper, "suffix_pair")
+        )
+        rows.write.parquet(f"{folder}/rows{depth}")
+        rows = spark.read.parquet(f"{folder}/rows{depth}")
+        own = F.col("n") / F.col("n_context")
+        rest = F.col("n_context") - F.col("kept")
+        rest_g = 2 * rest * F.log(rest / F.col("n_context") / F.greatest(1 - F.col("q_sum"), F.lit(1e-12)))
+        retained = (
+            rows.groupBy("context", "n_context")
+            .agg(
+                F.count("*").alias("t"),
+                F.sum("n").alias("kept"),
+                F.sum(2 * F.col("n") * F.log(own / F.col("q_own"))).alias("g"),
+                F.sum("q_own").alias("q_sum"),
+            )
+            .withColumn("g", F.col("g") + F.when(rest > 0, rest_g).otherwise(0.0))
+            # About the 0.1 % level of chi-squared with t degrees of freedom.
+            .where(F.col("g") >= F.col("t") + 3.1 * F.sqrt(2.0 * F.col("t")) + 6)
+            .select("context", "n_context", "t", ((rest + F.col("t")) / (F.col("n_context") + F.col("t"))).alias("l"))
+        )
+        retained.write.parquet(f"{folder}/contexts{depth}")
+        retained = spark.read.parquet(f"{folder}/contexts{depth}")
+        p = F.col("n") / (F.col("n_context") + F.col("t")) + F.col("l") * F.col("q")
+        rows.join(retained.drop("n_context"), "context").select(
+            "context", "pair", "suffix_pair", "n", own.alias("q_own"), p.alias("q"), "root"
+        ).write.parquet(f"{folder}/pairs{depth}")
+        kept = spark.read.parquet(f"{folder}/pairs{depth}")
+        upper = kept.select(F.col("pair").alias("suffix_pair"), "q_own", "q", "root")
+        candidates = (
+            kept.where(F.col("n") >= settings.least_context)
+            .join(retained.select(F.col("context").alias("suffix_pair")), "suffix_pair", "left_semi")
+            .select(F.col("pair").alias("context"), F.col("n").alias("n_context"))
+        )
+        # Its bitmap, its test for rows and the next level's join read it.
+        candidates.write.parquet(f"{folder}/candidates{depth}")
+        candidates = spark.read.parquet(f"{folder}/candidates{depth}")
+        contexts.unpersist()
+        pairs.unpersist()
+    nodes = spark.createDataFrame([], "key long, n long, value double")
+    entries = nodes
+    for k in range(1, depth + 1):
+        nodes = nodes.unionByName(
+            spark.read.parquet(f"{folder}/contexts{k}").select(
+                F.col("context").alias("key"), F.col("n_context").alias("n"), F.log10("l").alias("value")
             )
-            found = found.withColumn("context", context).join(big, "context").select("code", "n")
-        codes, n = _collected(found)
-        if depth == 0:
-            tree.counts[0][codes] = n
-        elif len(codes):
-            tree.grow(codes, n, depth)
-    return tree
+        )
+        entries = entries.unionByName(
+            spark.read.parquet(f"{folder}/pairs{k}").select(
+                F.col("pair").alias("key"), "n", (F.log10("q") - F.col("root")).alias("value")
+            )
+        )
+    return nodes, entries, depth
 
 
 def word_counts(docs: DataFrame) -> DataFrame:
@@ -256,23 +282,128 @@ def word_counts(docs: DataFrame) -> DataFrame:
     return _sum_counts(docs, each)
 
 
-def _head(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    """The most frequent words, at most HEAD_WORDS: sorted hashes and their counts."""
+def _head_least(counts: DataFrame, most: int) -> tuple[F.Column, int | None]:
+    """A tier of n, and the least tier whose rows, with those of higher ones, are at most that many."""
     tier = F.floor(4 * F.log2(F.col("n").cast("double"))).cast("int")
-    tiers = vocabulary.groupBy(tier.alias("tier")).agg(F.count("*").alias("words")).collect()
-    words, least = 0, None
+    tiers = counts.groupBy(tier.alias("tier")).agg(F.count("*").alias("rows")).collect()
+    rows, least = 0, None
     for r in sorted(tiers, key=lambda r: -r["tier"]):
-        words += r["words"]
-        if words > HEAD_WORDS:
+        rows += r["rows"]
+        if rows > most:
             break
         least = r["tier"]
+    return tier, least
+
+
+def _head(vocabulary: DataFrame) -> tuple[np.ndarray, np.ndarray]:
+    """The most frequent words, at most HEAD_WORDS: sorted hashes and their counts."""
+    tier, least = _head_least(vocabulary, HEAD_WORDS)
     if least is None:
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
-    codes, n = _collected(vocabulary.where(tier >= least))
+    rows = vocabulary.where(tier >= least).toArrow()
+    codes, n = rows["code"].to_numpy(), rows["n"].to_numpy()
     order = np.argsort(codes)
     return codes[order], n[order]
 
 
+class Known:
+    """Values of the most frequent keys, and a bitmap of all others."""
+
+    def __init__(self, table: DataFrame, settings: Settings):
+        tier, least = _head_least(table, settings.head_keys)
+        self.keys, self.values = np.zeros(0, np.uint64), np.zeros(0, np.float32)
+        if least is not None:
+            rows = table.where(tier >= least).select("key", F.col("value").cast("float")).toArrow()
+            keys = rows["key"].to_numpy().view(np.uint64)
+            order = np.argsort(keys)
+            self.keys, self.values = keys[order], rows["value"].to_numpy()[order]
+        others = table if least is None else table.where(tier < least)
+        self.others = _bitmap(others, "key", settings.bitmap_bits) if others.limit(1).count() else None
+
+    def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each key whether it is known, its value (else 0), whether it may be among the others."""
+        hit = np.zeros(len(keys), bool)
+        value = np.zeros(len(keys))
+        if len(self.keys) and len(keys):
+            # Keys in order walk through the array in order, which spares the cache.
+            order = np.argsort(keys)
+            ordered = keys[order]
+            at = np.searchsorted(self.keys, ordered)
+            at[at == len(self.keys)] = 0
+            same = self.keys[at] == ordered
+            hit[order] = same
+            value[order] = np.where(same, self.values[at], 0)
+        late = np.zeros(len(keys), bool)
+        if self.others is not None:
+            late = ~hit & self.others.may_hold(keys)
+        return hit, value, late
+
+
+@dataclass
+class Tree:
+    contexts: Known
+    pairs: Known
+    depth: int
+
+    def gains(self, texts: list[bytes]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
+        """log10 P minus the root's of each text, without the positions that need the whole tables.
+
+        Of those: text, position, level, context and pair for each level that may exist.
+        """
+        s = symbols_of(texts)
+        gain = np.zeros(len(s.codes))
+        late = np.zeros(len(s.codes), bool)
+        at = np.flatnonzero(s.age >= 1)
+        shorter = s.codes
+        levels = []
+        for depth in range(1, self.depth + 1):
+            if depth > 1:
+                at = at[s.age[at] >= depth]
+                shorter = s.longer(shorter)
+            context = shorter[at - 1]
+            hit, value, maybe = self.contexts.find(context)
+            use = hit | maybe
+            at, value, maybe, context = at[use], value[use], maybe[use], context[use]
+            pair = s.codes[at] + BASE * context
+            seen, own, perhaps = self.pairs.find(pair)
+            gain[at] = np.where(seen, own, gain[at] + value)
+            late[at] |= maybe | perhaps
+            levels.append((at, np.full(len(at), depth), context, pair))
+        gain[late] = 0
+        total = np.bincount(s.owner, gain, minlength=len(texts))
+        if not late.any():
+            none = np.zeros(0, np.int64)
+            return total, (none, none, none, none.view(np.uint64), none.view(np.uint64))
+        at, depth, context, pair = (np.concatenate(c) for c in zip(*levels))
+        use = np.flatnonzero(late[at])
+        use = use[np.argsort(s.owner[at[use]], kind="stable")]
+        return total, (s.owner[at[use]], s.age[at[use]], depth[use], context[use], pair[use])
+
+
+def _late_gains(scored: DataFrame, nodes: DataFrame, entries: DataFrame) -> DataFrame:
+    """row, gain of the positions that bitmaps could not settle."""
+    late = scored.select("row", F.explode(F.arrays_zip("position", "level", "context", "pair")).alias("l"))
+    levels = (
+        late.select("row", "l.*")
+        .join(nodes.select(F.col("key").alias("context"), F.col("value").cast("float").alias("less")), "context")
+        .join(
+            entries.select(F.col("key").alias("pair"), F.col("value").cast("float").alias("own")), "pair", "left"
+        )
+    )
+    # At most as many levels as the tree has for each position.
+    of_position = levels.groupBy("row", "position").agg(
+        F.array_sort(F.collect_list(F.struct("level", "less", "own"))).alias("levels")
+    )
+    gain = F.aggregate(
+        "levels",
+        F.lit(0.0),
+        lambda sum_, level: F.when(level["own"].isNotNull(), level["own"].cast("double")).otherwise(
+            sum_ + level["less"].cast("double")
+        ),
+    )
+    return of_position.groupBy("row").agg(F.sum(gain).alias("late_gain"))
+
+
 def score(
     spark: SparkSession,
     docs: DataFrame,
@@ -286,8 +417,8 @@ def score(
 
     A row is held out if crc32 of its id as text, modulo folds, is held_out_fold; all others train.
     A null id counts as the empty text, a null text as empty (only the end). Repeated rows train
-    as often as they occur. Without training rows the base is log10(1 / 1) a token and the tree
-    is the uniform distribution. An empty table gives no rows; other columns are not read.
+    as often as they occur. Without training rows the base is log10(1 / 1) a token and so is the tree's
+    score. An empty table gives no rows; other columns are not read.
     """
     settings = settings or Settings()
     folder = work_folder(spark, "suffix-tree")
@@ -303,11 +434,12 @@ def score(
     ends = training.count()
     tokens, kinds = sums[0] + ends, sums[1] + (ends > 0)
     head_codes, head_n = _head(vocabulary)
-    tree = train(training, settings)
-    model = spark.sparkContext.broadcast((tree, tree.log10(), head_codes, head_n))
+    nodes, entries, depth = train(spark, training, vocabulary, ends, settings)
+    tree = Tree(Known(nodes, settings), Known(entries, settings), depth)
+    model = spark.sparkContext.broadcast((tree, head_codes, head_n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree, logs, head, head_n = model.value
+        tree, head, head_n = model.value
         head_logs = np.log10(head_n + 1)
         row = TaskContext.get().partitionId() << 40
         for batch in batches:
@@ -322,6 +454,8 @@ def score(
                 known = head[at] == codes if len(head) else np.zeros(len(codes), bool)
                 rare = np.flatnonzero(~known)
                 cuts = np.searchsorted(owner[rare], np.arange(len(texts) + 1))
+                gains, (text, *late) = tree.gains(texts)
+                late_cuts = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
                         pa.array(np.arange(row, row + len(texts)), pa.int64()),
@@ -330,12 +464,19 @@ def score(
                         pa.array(size + 1, pa.int64()),
                         pa.array(np.bincount(owner[known], minlength=len(texts)), pa.int64()),
                         pa.array(np.bincount(owner[known], head_logs[at[known]], minlength=len(texts))),
-                        pa.array(tree.score(texts, logs), pa.float64()),
+                        pa.array(gains, pa.float64()),
                         pa.ListArray.from_arrays(
                             pa.array(cuts, pa.int32()), pa.array(codes[rare], pa.int64())
                         ),
+                        *(
+                            pa.ListArray.from_arrays(late_cuts, pa.array(c.view(np.int64), pa.int64()))
+                            for c in late
+                        ),
+                    ],
+                    names=[
+                        "row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "gain", "rare",
+                        "position", "level", "context", "pair",
                     ],
-                    names=["row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "score", "rare"],
                 )
                 row += len(texts)
 
@@ -343,7 +484,8 @@ def score(
         source,
         run,
         f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_head long, head_logs double, "
-        "score double, rare array<long>",
+        "gain double, rare array<long>, position array<long>, level array<long>, context array<long>, "
+        "pair array<long>",
     ).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     rare = (
@@ -354,17 +496,18 @@ def score(
     )
     end_log = float(np.log10(ends + 1))
     below = float(np.log10(tokens + kinds + 1))
-    return scored.drop("rare").join(rare, "row", "left").select(
-        "doc_id",
-        "held_out",
-        "n_tokens",
-        (F.col("n_head") + F.coalesce("n_rare", F.lit(0)) + int(ends > 0)).alias("n_known"),
-        F.lit(tokens).cast("long").alias("train_tokens"),
-        (
-            F.col("head_logs")
-            + F.coalesce("rare_logs", F.lit(0.0))
-            + end_log
-            - F.col("n_tokens") * below
-        ).alias("base_score"),
-        "score",
+    base = F.col("head_logs") + F.coalesce("rare_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * below
+    return (
+        scored.drop("rare", "position", "level", "context", "pair")
+        .join(rare, "row", "left")
+        .join(_late_gains(scored, nodes, entries), "row", "left")
+        .select(
+            "doc_id",
+            "held_out",
+            "n_tokens",
+            (F.col("n_head") + F.coalesce("n_rare", F.lit(0)) + int(ends > 0)).alias("n_known"),
+            F.lit(tokens).cast("long").alias("train_tokens"),
+            base.alias("base_score"),
+            (base + F.col("gain") + F.coalesce("late_gain", F.lit(0.0))).alias("score"),
+        )
     )
