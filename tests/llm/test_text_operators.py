@@ -148,7 +148,8 @@ def test_depleted_documents_are_rejected_and_others_kept(spark):
     rows += [(200, common, "other"), (201, common.upper(), None), (202, None, "h"), (203, "", "h")]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
     kept = {r.doc_id: r.kept for r in line_quality.judge(spark, docs).collect()}
-    assert not any(kept[i] for i in range(30)) and all(kept[100 + i] for i in range(30))
+    # The line stays whole in the text of the least id.
+    assert kept[0] and not any(kept[i] for i in range(1, 30)) and all(kept[100 + i] for i in range(30))
     assert kept[200] and kept[201] and not kept[202] and not kept[203]
     assert line_quality.judge(spark, docs.limit(0)).count() == 0
 
@@ -163,11 +164,15 @@ def test_boilerplate_goes_in_hosts_of_any_size(spark):
             rows.append((len(rows), text, host))
     # Copies count once, and one of a group of near copies is left whole.
     rows += [(1000 + i, words("copy", 60), "small") for i in range(30)]
+    copy = "\n".join(words(f"copied{k}", 30) for k in range(4))
+    rows += [(1100 + i, copy, "small") for i in range(30)]
+    # Half of its words are left, but too few.
+    rows += [(1200 + i, f"{words('foot', 25)}\n{words(f'short{i}', 40)}", "small") for i in range(5)]
     rows += [(2000 + i, f"{words('near', 60)}\nmark {i}", "small") for i in range(30)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(4)
-    found = line_quality.judge(spark, docs, least_docs=5, host_percent=None)
+    found = line_quality.judge(spark, docs)
     gone = {r.doc_id for r in found.where("NOT kept").collect()}
-    assert gone == {*range(1, 40), *range(601, 606), *range(2001, 2030)}
+    assert gone == {*range(1, 40), *range(601, 606), *range(1201, 1205), *range(2001, 2030)}
     stage = corpus_pipeline.quality_rules(spark, docs, "")
     assert {r.doc_id for r in stage.collect()} == {r[0] for r in rows} - gone
 

@@ -137,8 +137,8 @@ def judge(
     host_col: str = "source",
     id_col: str = "doc_id",
     text_col: str = "text",
-    least_docs: int = 20,
-    host_percent: int | None = 20,
+    least_docs: int = 5,
+    host_percent: int | None = None,
     least_left_percent: int = 30,
     least_words: int = 50,
     most_repeat_percent: int = 50,
@@ -146,14 +146,14 @@ def judge(
     """The figures of each row with base_failed, removed_words and kept.
 
     base_failed: fewer than least_words words, or more than most_repeat_percent of the words in
-    three-word windows that recur in the text. A line is common if least_docs documents of its
-    host or more hold it and these are more than host_percent of the host's documents; its words
-    are removed. A document of which less than least_left_percent of the words is left is
-    depleted. kept is false for a document that fails or is depleted.
+    three-word windows that recur in the text. A line is common if least_docs texts of its host or
+    more hold it, however large the host; texts of the same lines count once. Its words are removed
+    but for one of these texts, that of the least id, so that of a group of near copies one is
+    left whole. A document of which less than least_left_percent of the words or fewer than
+    least_words are left is depleted. kept is false for a document that fails or is depleted.
 
-    Without host_percent the limit does not grow with the host: a line is common if least_docs
-    texts of its host hold it, texts of the same lines counting once, and its words stay in one
-    of these texts, that of the least id, so that of a group of near copies one is left whole.
+    With host_percent a line is common if least_docs documents of its host or more hold it and
+    these are more than that share of the host's documents; its words are removed from all.
 
     A null text has no words and fails. A null host is the host of the empty name. Repeated rows
     count as documents of their own; an empty table gives no rows; other columns are not read.
@@ -166,7 +166,7 @@ def judge(
         "row",
         "doc_id",
         "host",
-        F.xxhash64("line").alias("lines_of"),
+        F.xxhash64(F.sort_array("line")).alias("lines_of"),
         F.explode(F.arrays_zip("line", "line_words")).alias("l"),
     ).select(
         "row", "doc_id", "host", "lines_of", F.col("l.line").alias("line"), F.col("l.line_words").alias("words")
@@ -183,7 +183,8 @@ def judge(
         .withColumn("removed_words", F.coalesce("removed_words", F.lit(0)))
         .withColumn("base_failed", failed)
         .withColumn(
-            "kept", ~failed & (100 * left >= least_left_percent * F.col("n_words"))
+            "kept",
+            ~failed & (100 * left >= least_left_percent * F.col("n_words")) & (left >= least_words),
         )
         .drop("row")
     )

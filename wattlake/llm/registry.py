@@ -139,12 +139,21 @@ raw_lines AS (
   WHERE regexp_matches(line, '{_TOKEN}')
 ),
 dups AS (SELECT doc_id, count(*) - count(DISTINCT line) AS n_dup_lines FROM raw_lines GROUP BY doc_id),
-lines AS (SELECT doc_id, host, norm, sum(n) AS n FROM raw_lines GROUP BY ALL),
+line_counts AS (SELECT doc_id, host, norm, sum(n) AS n FROM raw_lines GROUP BY ALL),
+lines AS (
+  SELECT * FROM line_counts JOIN (
+    SELECT doc_id, md5(array_to_string(list_sort(list(norm)), chr(10))) AS lines_of
+    FROM line_counts GROUP BY doc_id
+  ) USING (doc_id)
+),
 common AS (
-  SELECT host, norm FROM lines JOIN (SELECT host, count(*) AS host_docs FROM d GROUP BY host) USING (host)
-  GROUP BY host, norm HAVING count(*) >= 20 AND 100 * count(*) > 20 * any_value(host_docs)
+  SELECT host, norm, arg_min(lines_of, doc_id) AS stays FROM lines
+  GROUP BY host, norm HAVING count(DISTINCT lines_of) >= 5
+),
+removed AS (
+  SELECT doc_id, sum(n) AS removed FROM lines JOIN common USING (host, norm)
+  WHERE lines_of <> stays GROUP BY doc_id
 ),
-removed AS (SELECT doc_id, sum(n) AS removed FROM lines JOIN common USING (host, norm) GROUP BY doc_id),
 figures AS (
   SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words,
     CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
@@ -156,7 +165,7 @@ figures AS (
 )
 SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed,
   NOT (n_words < 50 OR 100 * n_repeat_words > 50 * n_words)
-    AND 100 * (n_words - removed_words) >= 30 * n_words AS kept
+    AND 100 * (n_words - removed_words) >= 30 * n_words AND n_words - removed_words >= 50 AS kept
 FROM figures
 """,
 )
