@@ -51,6 +51,26 @@ def test_near_copies_from_four_fifths_up_go(spark, sf_dir):
     assert sorted(r.doc_id for r in kept.collect()) == [1, 4]
 
 
+def test_rows_are_judged_by_themselves_where_ids_are_null_or_repeated(spark, sf_dir):
+    def text(seed):
+        return " ".join(f"word{(seed * 7919 + i * i * 31) % 100_003}" for i in range(80))
+
+    item = next(r.text for r in spark.read.parquet(f"{sf_dir}/benchmark.parquet").collect() if len(r.text.split()) > 10)
+    rows = [
+        (None, text(1)), (None, "too short"), (None, f"{text(2)} {item}"), (None, None),
+        # An id with a clean, a short and a contaminated text.
+        (7, text(3)), (7, "short"), (7, f"{text(4)} {item}"),
+        # Repeated rows, and a copy with a smaller id in a later row.
+        (9, text(5)), (9, text(5)), (8, text(5)), (None, text(5)),
+    ]
+    docs = spark.createDataFrame([(*r, "host", "x") for r in rows], "doc_id long, text string, source string, row_key0 string")
+    for stage in (corpus_pipeline.quality_rules, corpus_pipeline.near_duplicates, corpus_pipeline.decontamination):
+        docs = stage(spark, docs.repartition(3), sf_dir)
+        assert docs.columns == ["doc_id", "text", "source", "row_key0"]
+    kept = sorted(((r.doc_id, r.text) for r in docs.collect()), key=str)
+    assert kept == sorted([(None, text(1)), (7, text(3)), (8, text(5))], key=str)
+
+
 def test_pipeline_of_an_empty_table(spark, sf_dir, tmp_path):
     for table in ("documents", "benchmark"):
         frame = spark.read.parquet(f"{sf_dir}/{table}.parquet")
