@@ -130,17 +130,54 @@ def test_fanout_join_is_exact_either_way(spark):
         (F.col("id") % 3).alias("x"),
     )
     expected = left.join(right.drop("rid"), "k", "left")
-    for rows, salts in ((5, 32), (None, 32), (None, 63), (None, 1), (joins.BROADCAST_ROWS + 1, 7)):
-        joined = joins.left_join_fanout(left, right, ["k"], "rid", left_rows=rows, salts=salts)
+    # Parts of three rows are so many that some are empty; in the last form no key is hot.
+    for rows, part in ((5, 100), (None, 100), (None, 3), (joins.BROADCAST_ROWS + 1, 7), (None, 10**6)):
+        joined = joins.left_join_fanout(left, right, ["k"], "rid", left_rows=rows, part_rows=part)
         assert joined.columns == expected.columns
         assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
 
 
-def test_hot_key_is_spread(spark):
-    right = spark.range(20_000).select(F.lit(1).alias("k"), F.col("id").alias("rid"))
-    salts = right.select(F.pmod(F.xxhash64("rid"), F.lit(joins.SALTS)).alias("s")).groupBy("s").count()
-    counts = [r["count"] for r in salts.collect()]
-    assert len(counts) == joins.SALTS and max(counts) < 2 * 20_000 / joins.SALTS
+def test_fanout_join_of_null_ids_and_null_keys(spark):
+    left = spark.sql("SELECT * FROM VALUES (1, 'a'), (2, 'b'), (NULL, 'c') AS t(k, name)")
+    right = spark.range(300).selectExpr("IF(id < 200, 1, NULL) AS k", "CAST(NULL AS LONG) AS rid", "id % 50 AS x")
+    joined = joins.left_join_fanout(left, right, ["k"], "rid", part_rows=10)
+    expected = left.join(right.drop("rid"), "k", "left")
+    assert joined.exceptAll(expected).isEmpty() and expected.exceptAll(joined).isEmpty()
+    # Rows without an id are spread by their other values.
+    hot = joins.hot_keys(right, ["k"], 10)[1]
+    assert joins.spread_rows(right.where("k = 1"), ["k"], hot).select("_part").distinct().count() > 10
+    empty = joins.left_join_fanout(left, right.limit(0), ["k"], "rid")
+    assert _rows(empty.na.fill("-", ["name"]), "name", "x") == [("a", None), ("b", None), ("c", None)]
+
+
+def test_only_hot_keys_are_spread_and_in_proportion(spark):
+    """A key with half of the rows, one with a tenth, and many with four rows each."""
+    right = spark.range(40_000).selectExpr(
+        "CASE WHEN id % 2 = 0 THEN -1 WHEN id % 10 = 1 THEN -2 ELSE id DIV 10 END AS k", "id AS rid"
+    )
+    parts, hot = joins.hot_keys(right, ["k"], part_rows=1000)
+    assert sorted((r["k"], r["_parts"]) for r in hot.collect()) == [(-2, 4), (-1, 20)]
+    assert parts.count() == 4002
+    spread = joins.spread_rows(right, ["k"], hot)
+    sizes = spread.where("k = -1").groupBy("_part").count().collect()
+    assert len(sizes) == 20 and max(r["count"] for r in sizes) < 1200
+    assert spread.where("k >= 0 AND _part <> 0").isEmpty()
+    # However small a part, a key with at most a tenth of the rows is not hot if ten may be.
+    assert [r["k"] for r in joins.hot_keys(right, ["k"], 1, most=10)[1].collect()] == [-1]
+
+
+def test_fanout_join_spreads_half_of_the_rows_over_all_tasks(spark):
+    left = spark.sql("SELECT * FROM VALUES (-1, 'hot'), (3, 'cold') AS t(k, name)")
+    right = spark.range(40_000).selectExpr("IF(id % 2 = 0, -1, id) AS k", "id AS rid", "id AS x")
+    # All tasks of a shuffle, as if none was merged for being small.
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        joined = joins.left_join_fanout(left, right, ["k"], "rid", part_rows=250)
+        rows = joined.where("k = -1").groupBy(F.spark_partition_id()).count().collect()
+    finally:
+        spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "true")
+    assert len(rows) == 8 and sum(r["count"] for r in rows) == 20_000
+    assert max(r["count"] for r in rows) < 20_000 / 3
 
 
 def test_bounded_rows(spark):

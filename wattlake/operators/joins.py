@@ -10,7 +10,10 @@ from pyspark.sql import functions as F
 # A side with at most this many rows of a fact-like width stays far below the 8 GB limit
 # of a broadcast and fits beside the other memory of an executor.
 BROADCAST_ROWS = 200_000
-SALTS = 32  # at most 63, one bit each
+# Rows of a key from which on it is hot, and the number of keys that can be: a key is only hot
+# with more than a 65,536th of all rows, so there are fewer of these, however large the table.
+PART_ROWS = 1_000_000
+HOT_KEYS = 65_536
 
 
 def bounded_rows(table: DataFrame, limit: int = BROADCAST_ROWS) -> int | None:
@@ -43,25 +46,62 @@ def left_join_aggregates(left: DataFrame, right: DataFrame, keys: Sequence[str])
     return left.join(right, list(keys), "left")
 
 
+def _with_keys(table: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """Rows without a NULL in a key, asked for as joins ask, so that Spark sees equal scans."""
+    return table.where(" AND ".join(f"`{k}` IS NOT NULL" for k in keys))
+
+
+def hot_keys(
+    table: DataFrame, keys: Sequence[str], part_rows: int = PART_ROWS, most: int = HOT_KEYS
+) -> tuple[DataFrame, DataFrame]:
+    """The number of parts of each key, and the keys of more than one part: keys, ``_parts``.
+
+    Rows of a key are counted with a partial sum in every task. A part is part_rows rows, or the
+    ``most``-th part of the table where that is more; so fewer than ``most`` keys have several.
+    Keys with a NULL are left out, since they match nothing.
+    """
+    counts = _with_keys(table, keys).groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"))
+    share = counts.agg((F.sum("_n") / F.lit(most)).alias("share")).scalar()
+    rows = F.greatest(F.lit(float(part_rows)), F.coalesce(share, F.lit(0.0)))
+    parts = counts.select(*keys, F.ceil(F.col("_n") / rows).cast("long").alias("_parts"))
+    return parts, parts.where("_parts > 1")
+
+
+def spread_rows(
+    table: DataFrame, keys: Sequence[str], hot: DataFrame, unlike: Sequence[str] = ()
+) -> DataFrame:
+    """The table with ``_part``: 0, and for a hot key the number of one of its parts.
+
+    The number comes from the values of the whole row and not from its place, so a repeated
+    task gives the same. ``unlike`` names columns that are not hashed (maps and variants cannot be).
+    """
+    values = [F.col(f"`{c}`") for c in table.columns if c not in unlike]
+    found = table.join(F.broadcast(hot), list(keys), "left")
+    # The hash is taken of hot rows only; the coalesce tells Spark that no part is NULL.
+    part = F.when(F.col("_parts").isNotNull(), F.pmod(F.xxhash64(*values), F.col("_parts")))
+    return found.withColumn("_part", F.coalesce(part, F.lit(0).cast("long"))).drop("_parts")
+
+
 def left_join_fanout(
     left: DataFrame,
     right: DataFrame,
     keys: Sequence[str],
     spread_by: str,
     left_rows: int | None = None,
-    salts: int = SALTS,
+    part_rows: int = PART_ROWS,
 ) -> DataFrame:
     """Left join whose right side may have very many rows for a key.
 
     AQE cannot split a skewed right side of a left join, so it is done in one of two exact
     ways. Where the left side has a known small bound (``left_rows``) it goes to the right
     side's tasks, which then need no shuffle at all; left rows without any match are added.
-    Otherwise the right side is spread over (keys, salt), with the salt taken from the unique
-    ``spread_by`` column, and each left row goes to just those salts that its key has; a left
-    row whose key has none goes to one salt without rows and stays unmatched.
+    Otherwise the rows of each key are counted. A hot key's rows are spread over as many parts as
+    it has times ``part_rows``, by a hash of the whole row with ``spread_by`` among its columns; its
+    left rows go to each part. All other keys have one part and join as usual. Rows of a hot key
+    that are equal in every column share a part.
     """
-    if not 1 <= salts <= 63:
-        raise ValueError("salts must be between 1 and 63")
+    if part_rows < 1:
+        raise ValueError("part_rows must be positive")
     keys = list(keys)
     fields = [c for c in right.columns if c not in (*keys, spread_by)]
     if left_rows is not None and left_rows <= BROADCAST_ROWS:
@@ -72,21 +112,16 @@ def left_join_fanout(
         columns = [*left.columns, *fields]
         return matched.select(*columns).unionByName(missing.select(*left.columns, *nulls))
 
-    salted = right.withColumn(
-        "_salt", F.pmod(F.xxhash64(spread_by), F.lit(salts)).cast("int")
-    ).drop(spread_by)
-    # The salts of a key as bits of one long, which a hash aggregate keeps in place.
-    present = salted.groupBy(*keys).agg(F.expr("bit_or(shiftleft(1L, _salt)) AS _salts"))
-    used = F.filter(
-        F.sequence(F.lit(0), F.lit(salts - 1)),
-        lambda s: F.call_function("getbit", F.col("_salts"), s) == 1,
-    )
-    spread = left.join(present, keys, "left").withColumn(
-        "_salt", F.explode(F.when(F.col("_salts").isNull(), F.array(F.lit(-1))).otherwise(used))
+    parts, hot = hot_keys(right, keys, part_rows)
+    spread = spread_rows(_with_keys(right, keys), keys, hot).drop(spread_by)
+    spread = spread.withColumn("_hit", F.lit(True))
+    everywhere = left.join(parts, keys, "left").withColumn(
+        "_part", F.explode(F.sequence(F.lit(0).cast("long"), F.coalesce("_parts", F.lit(1)) - 1))
     )
-    # Hash the left side, a few rows for each key and salt: the right side needs no sort.
-    few = spread.drop("_salts").hint("shuffle_hash")
-    return few.join(salted, [*keys, "_salt"], "left").drop("_salt")
+    # Hash the left side, a few rows for each key and part: the right side needs no sort. A part
+    # may be empty; only a key without any row leaves its left rows unmatched.
+    joined = everywhere.hint("shuffle_hash").join(spread, [*keys, "_part"], "left")
+    return joined.where("_hit OR _parts IS NULL").select(*left.columns, *fields)
 
 
 def latest_by(table: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:

@@ -78,7 +78,7 @@ def add_enrichment(base: DataFrame, enrichment: DataFrame, dims: Dimensions) ->
     """Left join with every enrichment row of the day and location.
 
     The base has one row at most for each pair of dimension rows. That bound decides whether
-    it is sent to the enrichment's tasks or the enrichment is spread over salts.
+    it is sent to the enrichment's tasks or the enrichment's hot keys are spread.
     """
     context = enrichment.select(
         *KEYS,
