@@ -106,6 +106,11 @@ CONSUMPTION_ORDER = ["location", "sector", "consumption_key"]
 ENRICHMENT_ORDER = ["location", "enrichment_key"]
 
 
-def newest_first(rows: DataFrame, then: list[str], lead: str = "period_date") -> DataFrame:
+def newest_order(then: list[str], lead: str = "period_date") -> list[Column]:
     """Descending by ``lead`` with NULLs first, then ascending with NULLs last."""
-    return rows.orderBy(F.desc_nulls_first(lead), *(F.asc_nulls_last(c) for c in then))
+    return [F.desc_nulls_first(lead), *(F.asc_nulls_last(c) for c in then)]
+
+
+def newest_first(rows: DataFrame, then: list[str], lead: str = "period_date") -> DataFrame:
+    """Rows in the order of ``newest_order``."""
+    return rows.orderBy(*newest_order(then, lead))

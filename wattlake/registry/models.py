@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from wattlake.operators import aggregates, joins
+from wattlake.operators import aggregates, joins, ordering
 from wattlake.plans import combined, fact, staging
 from wattlake.registry.core import Tables, query
 from wattlake.registry.sql import doubles, longs, texts
@@ -197,3 +197,33 @@ def combined_order(t: Tables):
 @query("T02_fact_order", _fact_sql())
 def fact_order(t: Tables):
     return staging.newest_first(t.fact, fact.SINK_ORDER, lead="time_key")
+
+
+#: Context columns that tell the rows of a period and location apart, after those of the sink.
+_TIES = ["gdp_per_capita", "industrial_activity_index", "enrichment_ingested_at"]
+
+
+@query("T02_combined_position", f"""
+SELECT {texts("period_date")}, location, location_type, {doubles("total_generation_mwh", "temperature_fahrenheit")},
+       row_number() OVER (ORDER BY combined.period_date DESC NULLS FIRST,
+           {", ".join(f"combined.{c} NULLS LAST" for c in (*combined.SINK_ORDER, *_TIES))}) AS position
+FROM combined""")
+def combined_position(t: Tables):
+    order = staging.newest_order([*combined.SINK_ORDER, *_TIES])
+    return ordering.numbered(t.combined, order).select(
+        "period_date", "location", "location_type", "total_generation_mwh", "temperature_fahrenheit",
+        "position",
+    )
+
+
+@query("T02_fact_position", f"""
+SELECT metric_key, {longs("time_key", "location_key")}, {doubles("total_generation_mwh", "avg_temperature_fahrenheit")},
+       row_number() OVER (ORDER BY fact.time_key DESC NULLS FIRST,
+           {", ".join(f"fact.{c} NULLS LAST" for c in fact.SINK_ORDER)}) AS position
+FROM fact""")
+def fact_position(t: Tables):
+    order = staging.newest_order(fact.SINK_ORDER, lead="time_key")
+    return ordering.numbered(t.fact, order).select(
+        "metric_key", "time_key", "location_key", "total_generation_mwh", "avg_temperature_fahrenheit",
+        "position",
+    )

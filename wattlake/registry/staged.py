@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from wattlake.functions import scalar
-from wattlake.operators import aggregates, filters
+from wattlake.operators import aggregates, filters, ordering
 from wattlake.plans import combined, fact, staging
 from wattlake.registry import sql
 from wattlake.registry.core import Tables, query
@@ -290,3 +290,31 @@ def staging_order_consumption(t: Tables):
 ORDER BY period_date DESC NULLS FIRST, location, enrichment_key""")
 def staging_order_enrichment(t: Tables):
     return staging.newest_first(t.enrichment, staging.ENRICHMENT_ORDER).select(*_ENR_COLUMNS)
+
+
+def _positions(columns: list[str], table: str, then: list[str]) -> str:
+    order = ", ".join(f"{table}.{c} NULLS LAST" for c in then)
+    return f"""
+SELECT {columns[0]}, row_number() OVER (ORDER BY {table}.period_date DESC NULLS FIRST, {order}) AS position
+FROM {table}"""
+
+
+@query("T01_position_generation", _positions(_GEN_COLUMNS, "gen", staging.GENERATION_ORDER))
+def position_generation(t: Tables):
+    order = staging.newest_order(staging.GENERATION_ORDER)
+    rows = t.generation.select("generation_key", "period_date", "location", "energy_source")
+    return ordering.numbered(rows, order).select("generation_key", "position")
+
+
+@query("T01_position_consumption", _positions(_CONS_COLUMNS, "cons", staging.CONSUMPTION_ORDER))
+def position_consumption(t: Tables):
+    order = staging.newest_order(staging.CONSUMPTION_ORDER)
+    rows = t.consumption.select("consumption_key", "period_date", "location", "sector")
+    return ordering.numbered(rows, order).select("consumption_key", "position")
+
+
+@query("T01_position_enrichment", _positions(_ENR_COLUMNS, "enr", staging.ENRICHMENT_ORDER))
+def position_enrichment(t: Tables):
+    order = staging.newest_order(staging.ENRICHMENT_ORDER)
+    rows = t.enrichment.select("enrichment_key", "period_date", "location")
+    return ordering.numbered(rows, order).select("enrichment_key", "position")
