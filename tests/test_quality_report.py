@@ -17,6 +17,8 @@ from wattlake.operators import quality, report_measures
 from wattlake.operators.describe import QUARTILES, describe, exact_percentiles, first_pass
 from wattlake.operators.quality import Check
 from wattlake.plans import daily, report
+from wattlake.sources.stored_dimensions import StoredLocations
+from wattlake.sources.versions import ConflictError, VersionedStore
 
 
 def test_catalogue_counts():
@@ -176,6 +178,46 @@ def test_percentiles_of_hard_columns(spark):
         assert {(r.column, r.name): r.value for r in found.collect()} == wanted
 
 
+def test_daily_flow_with_new_locations(spark, raw_eia, raw_enrichment, tmp_path):
+    path = str(tmp_path)
+    known, new = {"location": "CA"}, {"location": "US-ZZ", "location_type": "region", "energy_source": "coal"}
+    undated = {"location": "US-YY", "period": "soon"}
+    daily.run(spark, raw_eia(known, new, undated), raw_enrichment({}), path, new_locations=True)
+    locations = StoredLocations(VersionedStore(spark, f"{path}/dimensions"))
+    before = locations.read()
+    added = before.where("location_key > 10").collect()
+    assert before.count() == 11 and [(r.location_key, r.location_name) for r in added] == [(11, added[0].location_code)]
+    mart = spark.read.parquet(f"{path}/fct_energy_metrics")
+    assert {r.location_key for r in mart.collect()} >= {11} and mart.count() == 2
+    # A later batch keeps the keys and adds after them; the seeds alone drop what they do not know.
+    again = daily.run(
+        spark, raw_eia(new, {"location": "US-AA", "location_type": "region"}), raw_enrichment({}), path,
+        new_locations=True,
+    )
+    keys = {r.location_code: r.location_key for r in locations.read().collect()}
+    assert keys[added[0].location_code] == 11 and sorted(keys.values()) == list(range(1, 13))
+    assert {r.location for r in again["renewable_by_location"].collect()} == {"LOC_11", "LOC_12"}
+
+
+def test_locations_grow_once_and_conflicts_change_nothing(spark, tmp_path):
+    store = VersionedStore(spark, str(tmp_path))
+    locations = StoredLocations(store)
+    assert locations.read().count() == 10
+    rows = spark.sql("""SELECT * FROM VALUES ('b', 'x'), ('a', 'z'), ('a', 'y'), (' ', 'x'), (NULL, 'x'), ('US', 'x')
+                        AS t(location, location_type)""")
+    assert locations.grow(rows) == 2 and locations.grow(rows) == 0
+    new = {r.location_code: (r.location_key, r.location_type) for r in locations.read().where("location_key > 10").collect()}
+    assert new == {"a": (11, "y"), "b": (12, "x")}
+    stale = store.snapshot()
+    assert locations.grow(spark.sql("SELECT 'c' AS location, 'x' AS location_type")) == 1
+    store.snapshot, newest = lambda: stale, store.snapshot
+    with pytest.raises(ConflictError):
+        locations.grow(spark.sql("SELECT 'd' AS location, 'x' AS location_type"))
+    store.snapshot = newest
+    assert sorted(r.location_key for r in locations.read().collect()) == list(range(1, 14))
+    assert locations.grow(rows.limit(0)) == 0
+
+
 def test_daily_flow(spark, raw_eia, raw_enrichment, tmp_path):
     eia = raw_eia({"value": 60}, {"energy_source": "coal", "value": 40}, {"location": "TX", "energy_source": "hydro"})
     enrichment = raw_enrichment({}, {"location": "US-TX", "temperature_avg": 200})

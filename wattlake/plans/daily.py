@@ -9,6 +9,19 @@ from pyspark.sql import functions as F
 
 from wattlake.operators import check_catalogue, dimensions, quality, report_measures
 from wattlake.plans import combined, fact, refresh, report, staging
+from wattlake.sources.stored_dimensions import StoredLocations
+from wattlake.sources.versions import VersionedStore
+
+
+def grown_dimensions(spark: SparkSession, raw_eia: DataFrame, path: str) -> fact.Dimensions:
+    """The calendar, and the locations stored under ``path`` with those that the raw rows add.
+
+    Only dated generation adds a place: the fact has no row of a place without it.
+    """
+    locations = StoredLocations(VersionedStore(spark, f"{path}/dimensions"))
+    staged = staging.tag_energy(raw_eia).where("is_generation AND period_date IS NOT NULL")
+    locations.grow(staged.select("location", "location_type"))
+    return fact.Dimensions(dimensions.dim_time(spark), locations.read(), dimensions.CALENDAR_DAYS)
 
 
 def model_tables(raw_eia: DataFrame, raw_enrichment: DataFrame, mart: DataFrame) -> dict[str, DataFrame]:
@@ -24,14 +37,20 @@ def model_tables(raw_eia: DataFrame, raw_enrichment: DataFrame, mart: DataFrame)
     }
 
 
-def run(spark: SparkSession, raw_eia: DataFrame, raw_enrichment: DataFrame, path: str) -> dict[str, DataFrame]:
+def run(
+    spark: SparkSession, raw_eia: DataFrame, raw_enrichment: DataFrame, path: str,
+    new_locations: bool = False,
+) -> dict[str, DataFrame]:
     """Build the mart under ``path``, then check it and give the report tables.
 
+    With ``new_locations`` the location dimension is a stored table, and places that it does not
+    have are added before the mart is built; otherwise it is the seeds, and other places are dropped.
     A failed gate is recorded in the run's status and does not stop the report.
     """
     start = datetime.now(UTC).replace(tzinfo=None)
     written = Observation()
-    mart_rows = fact.stamped(fact.build(raw_eia, raw_enrichment))
+    dims = grown_dimensions(spark, raw_eia, path) if new_locations else None
+    mart_rows = fact.stamped(fact.build(raw_eia, raw_enrichment, dims))
     refresh.rebuild(mart_rows.observe(written, F.count(F.lit(1)).alias("rows")), f"{path}/fct_energy_metrics")
     mart = spark.read.parquet(f"{path}/fct_energy_metrics")
     tables = model_tables(raw_eia, raw_enrichment, mart)

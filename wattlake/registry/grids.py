@@ -9,7 +9,10 @@ from wattlake.operators import dimensions, grids, quality
 from wattlake.registry import sql
 from wattlake.registry.core import Tables, query
 from wattlake.registry.sql import longs
+from wattlake.session import work_folder
 from wattlake.sources.landing import split_by_required_text
+from wattlake.sources.stored_dimensions import StoredLocations
+from wattlake.sources.versions import VersionedStore
 
 _RANGES = """
 FROM (SELECT o_custkey, CAST(min(o_orderdate) AS DATE) AS lo, CAST(max(o_orderdate) AS DATE) AS hi
@@ -245,3 +248,19 @@ def insert_if_absent(t: Tables):
     return dimensions.insert_if_absent(
         dimensions.dim_location(t.spark), codes, ["location_code"]
     )
+
+
+@query("D08_stored_locations", f"""
+SELECT {longs("location_key")}, location_code, location_name, location_type FROM dim_location
+UNION ALL
+SELECT (SELECT max(location_key) FROM dim_location) + row_number() OVER (ORDER BY location),
+       location, location, min(location_type)
+FROM gen
+WHERE trim(location) <> '' AND location NOT IN (SELECT location_code FROM dim_location)
+GROUP BY location""")
+def stored_locations(t: Tables):
+    """The stored dimension after the staged rows came twice: the second time adds nothing."""
+    locations = StoredLocations(VersionedStore(t.spark, work_folder(t.spark, "dimensions")))
+    for _ in range(2):
+        locations.grow(t.generation)
+    return locations.read().select("location_key", "location_code", "location_name", "location_type")
