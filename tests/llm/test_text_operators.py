@@ -447,3 +447,41 @@ def test_cut_of_top_equals_a_sort(spark):
     for k in (1, 2, 700, 1500, 2999, 3000):
         assert importance.cut_of_top(scored, k, few=20) == ordered[k - 1]
     assert importance.cut_of_top(scored, 0) is None
+
+
+def test_packed_halves_are_those_of_counted_pairs(spark):
+    """Also halves with the upper bit set, of many rows, and counts beyond what a packed one holds."""
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(60)]
+    texts = [" ".join(rng.choices(words, k=40)) for _ in range(300)] + [" ".join(["tick"] * 3000)] * 3
+    docs = spark.createDataFrame([(t,) for t in texts], "text string").repartition(5)
+
+    every = suffix_tree.Bitmap(6, np.array([0]), np.array([-1]))
+    counts = Counter()
+    for t in texts:
+        s = suffix_tree.symbols_of([t.encode()])
+        pair = s.codes[1:] + suffix_tree.BASE * s.codes[:-1]
+        counts.update((pair >> np.uint64(32) << np.uint64(32)).view(np.int64).tolist())
+    for least in (4, 9, 9000):
+        shared = spark.sparkContext.broadcast(every)
+        found = suffix_tree._repeated(docs, shared, least).toArrow()["key"].to_pylist()
+        limit = min(least, suffix_tree.MOST_COUNTED)
+        assert sorted(found) == sorted(k for k, n in counts.items() if n >= limit)
+        assert min(found) < 0 or least == 9000
+
+
+def test_shuffles_of_training_are_dropped(spark, monkeypatch):
+    """Jobs that write or collect run with clean-up; the session is as before afterwards."""
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen = []
+    train = suffix_tree.train
+
+    def spied(*args):
+        seen.append(spark.conf.get(key))
+        return train(*args)
+
+    monkeypatch.setattr(suffix_tree, "train", spied)
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(i, "a b c d") for i in range(50)], "doc_id long, text string")
+    assert suffix_tree.score(spark, docs).count() == 50
+    assert seen == ["true"] and spark.conf.get(key, None) == before

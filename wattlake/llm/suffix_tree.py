@@ -34,12 +34,14 @@ from pyspark.sql import functions as F
 
 from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import chunks, words_of
-from wattlake.session import work_folder
+from wattlake.session import shuffles_dropped, work_folder
 
 HEAD_WORDS = 1 << 17
 #: The end's hash, and the base of the polynomial of a sequence (odd).
 END = np.uint64(0x5851F42D4C957F2D)
 BASE = np.uint64(0xD1342543DE82EF95)
+#: A count that travels with half a pair stops here; a least count above is taken as this.
+MOST_COUNTED = (1 << 12) - 1
 
 
 @dataclass(frozen=True)
@@ -143,20 +145,65 @@ def _pairs(docs: DataFrame, depth: int, contexts, suffix_pairs) -> DataFrame:
 
 
 def _repeated(docs: DataFrame, contexts, least: int) -> DataFrame:
-    """First halves of pairs of two words that may occur least times, as keys for a bitmap."""
+    """First halves of pairs of two words that may occur least times, as keys for a bitmap.
 
-    def each(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
-        s = symbols_of(texts)
-        at = np.flatnonzero(s.age >= 1)
-        at = at[contexts.value.may_hold(s.codes[at - 1])]
-        pair = s.codes[at] + BASE * s.codes[at - 1]
-        return np.unique((pair >> np.uint64(32)).astype(np.uint32).view(np.int32), return_counts=True)
+    Halves travel packed: a row holds those of some megabytes that share their first 12 bits, in
+    four bytes each, the other 20 bits and a count. A range of 20 bits is counted in an array.
+    """
 
-    halves = _sum_counts(docs, each, "int").where(F.col("n") >= least)
-    return halves.select(F.shiftleft(F.col("code").cast("long"), 32).alias("key"))
+    def packed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting: list[np.ndarray] = []
+        size = 0
 
+        def flush() -> pa.RecordBatch:
+            halves, n = np.unique(np.concatenate(waiting), return_counts=True)
+            first, cuts = np.unique(halves >> np.uint32(20), return_index=True)
+            data = (halves << np.uint32(12)) | np.minimum(n, MOST_COUNTED).astype(np.uint32)
+            parts = [p.astype("<u4").tobytes() for p in np.split(data, cuts[1:])]
+            return pa.RecordBatch.from_arrays(
+                [pa.array(first.astype(np.int32)), pa.array(parts, pa.binary())], names=["first", "halves"]
+            )
 
-def _sum_counts(docs: DataFrame, each, kind: str = "long") -> DataFrame:
+        for batch in batches:
+            for _, texts in chunks(batch):
+                s = symbols_of(texts)
+                at = np.flatnonzero(s.age >= 1)
+                at = at[contexts.value.may_hold(s.codes[at - 1])]
+                pair = s.codes[at] + BASE * s.codes[at - 1]
+                waiting.append((pair >> np.uint64(32)).astype(np.uint32))
+                size += len(at)
+                if size > 4_000_000:
+                    yield flush()
+                    waiting.clear()
+                    size = 0
+        if size:
+            yield flush()
+
+    def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, held = np.zeros(1 << 20, np.int64), None
+
+        def keys() -> pa.RecordBatch:
+            often = np.flatnonzero(counts >= min(least, MOST_COUNTED))
+            counts[:] = 0
+            return pa.RecordBatch.from_arrays([pa.array((held << 52) + (often << 32))], names=["key"])
+
+        for batch in batches:
+            for first, data in zip(batch.column("first").to_pylist(), batch.column("halves"), strict=True):
+                # Signed keys, as in all tables.
+                first = np.int64(first - (first >> 11 << 12))
+                if held is not None and first != held:
+                    yield keys()
+                held = first
+                part = np.frombuffer(data.as_buffer(), "<u4")
+                counts[part >> np.uint32(12)] += part & np.uint32(MOST_COUNTED)
+        if held is not None:
+            yield keys()
+
+    halves = map_in_arrow(docs, packed, "first int, halves binary")
+    return map_in_arrow(halves.repartition("first").sortWithinPartitions("first"), counted, "key long")
+
+
+def _sum_counts(docs: DataFrame, each) -> DataFrame:
     """Sum of (code, n) over all texts; each task emits every code once for some megabytes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -180,7 +227,7 @@ def _sum_counts(docs: DataFrame, each, kind: str = "long") -> DataFrame:
         if waiting:
             yield flush()
 
-    return map_in_arrow(docs, run, f"code {kind}, n long").groupBy("code").agg(F.sum("n").alias("n"))
+    return map_in_arrow(docs, run, "code long, n long").groupBy("code").agg(F.sum("n").alias("n"))
 
 
 def train(
@@ -428,15 +475,16 @@ def score(
     source = source.withColumn("held_out", fold == held_out_fold)
     training = source.where(~F.col("held_out")).select("text")
 
-    word_counts(training).write.parquet(f"{folder}/words")
-    vocabulary = spark.read.parquet(f"{folder}/words")
-    sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
-    ends = training.count()
-    tokens, kinds = sums[0] + ends, sums[1] + (ends > 0)
-    head_codes, head_n = _head(vocabulary)
-    nodes, entries, depth = train(spark, training, vocabulary, ends, settings)
-    tree = Tree(Known(nodes, settings), Known(entries, settings), depth)
-    model = spark.sparkContext.broadcast((tree, head_codes, head_n))
+    with shuffles_dropped(spark):
+        word_counts(training).write.parquet(f"{folder}/words")
+        vocabulary = spark.read.parquet(f"{folder}/words")
+        sums = vocabulary.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
+        ends = training.count()
+        tokens, kinds = sums[0] + ends, sums[1] + (ends > 0)
+        head_codes, head_n = _head(vocabulary)
+        nodes, entries, depth = train(spark, training, vocabulary, ends, settings)
+        tree = Tree(Known(nodes, settings), Known(entries, settings), depth)
+        model = spark.sparkContext.broadcast((tree, head_codes, head_n))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tree, head, head_n = model.value
