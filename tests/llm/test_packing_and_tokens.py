@@ -4,11 +4,12 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from wattlake.llm import id_codec, packing, token_count, token_files
+from wattlake.llm import arrow, id_codec, packing, token_count, token_files
 from wattlake.llm.encoding import ChunkEncoder
 from wattlake.llm.vocabularies import default_path
 
@@ -132,3 +133,18 @@ def test_count_tokens_of_odd_rows(spark):
         (0, 2, 1, False), (1, 0, 0, False), (2, 0, 0, False), (3, 5, 3, True), (3, 5, 3, True),
     ]
     assert token_count.count_tokens(docs.limit(0)).count() == 0
+
+
+def test_arrow_batches_are_bounded(spark):
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(key)
+    try:
+        for given, wanted in (("10000", "2000"), ("0", "2000"), ("500", "500")):
+            spark.conf.set(key, given)
+            table = spark.range(6000).coalesce(1)
+            sizes = arrow.map_in_arrow(
+                table, lambda batches: (pa.RecordBatch.from_pydict({"n": [b.num_rows]}) for b in batches), "n long"
+            ).collect()
+            assert spark.conf.get(key) == wanted and max(r["n"] for r in sizes) <= int(wanted)
+    finally:
+        spark.conf.set(key, before)

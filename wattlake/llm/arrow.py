@@ -9,6 +9,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from wattlake.session import bound_arrow_batches
+
 
 def id_and_text(docs: DataFrame, id_col: str, text_col: str, *more: str) -> DataFrame:
     """The columns that an operator reads, so that the scan reads no others."""
@@ -49,6 +51,7 @@ def map_in_arrow(
         finally:
             release()
 
+    bound_arrow_batches(table.sparkSession)
     return table.mapInArrow(task, schema)
 
 

@@ -89,3 +89,11 @@ def shuffles_dropped(spark: SparkSession) -> Iterator[None]:
             spark.conf.unset(key)
         else:
             spark.conf.set(key, before)
+
+
+def bound_arrow_batches(spark: SparkSession, rows: int = 2000) -> None:
+    """Lower the rows of an Arrow batch: a task holds a batch of whole texts several times, in the
+    executor's JVM and in its Python worker."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if not 0 < int(spark.conf.get(key)) <= rows:
+        spark.conf.set(key, str(rows))
