@@ -9,7 +9,7 @@ import pytest
 import sentencepiece
 from tokenizers import Tokenizer
 
-from wattlake.llm import arrow, id_codec, packing, token_count, token_files
+from wattlake.llm import arrow, encoding, id_codec, packing, token_count, token_files
 from wattlake.llm.encoding import ChunkEncoder
 from wattlake.llm.vocabularies import default_path
 
@@ -135,6 +135,27 @@ def test_count_tokens_of_odd_rows(spark):
     assert token_count.count_tokens(docs.limit(0)).count() == 0
 
 
+@pytest.mark.parametrize("name", ["byte_bpe_50k.json", "word_bpe_49k.json"])
+def test_frequent_chunks_stay_in_a_full_memory(name, monkeypatch):
+    """Ids are the library's while halves of the memory change, and a chunk met again is not encoded again."""
+    monkeypatch.setattr(encoding, "MEMORY_ENTRIES", 200)
+    rng = random.Random(7)
+    rare = ["".join(rng.choices("abcdeéüßÀÑ'-.,%$<|>12 ", k=rng.randint(1, 9))) for _ in range(3000)]
+    texts = [f"Often. the Énd, {r}%%%.\n{r} it's <|endoftext|> of,\nthe" for r in rare] + ["\nA.", "a\n\nb", "", "."]
+    encoder = ChunkEncoder(default_path(name))
+    asked = []
+    model = encoder.model
+    encoder.model = lambda word: asked.append(word) or model(word)
+    whole = Tokenizer.from_file(default_path(name))
+    for i in range(0, len(texts), 100):
+        part = texts[i : i + 100]
+        wanted = [np.asarray(whole.encode(t, add_special_tokens=False).ids, "<u4").tobytes() for t in part]
+        assert encoder.encode(part) == wanted
+    often = "ĠtheĠ"[:4] if name.startswith("byte") else "the"
+    assert asked.count(often) <= 6  # in its three places, with and without a sign
+    assert len(encoder.fine) <= 100 and len(encoder.fine.old) <= 100
+
+
 def test_arrow_batches_are_bounded(spark):
     key = "spark.sql.execution.arrow.maxRecordsPerBatch"
     before = spark.conf.get(key)
