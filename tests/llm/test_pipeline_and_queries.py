@@ -82,3 +82,19 @@ def test_sql_runs_on_the_given_views(sf_dir):
     connection: duckdb.DuckDBPyConnection = check_oracle.connect(sf_dir)
     for sql in registry.SQL.values():
         connection.execute(f"EXPLAIN {sql}")
+
+
+def test_the_join_drops_its_shuffles(spark, sf_dir, monkeypatch):
+    key = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    seen = []
+    found = corpus_pipeline.jaccard_join.near_duplicates
+
+    def spied(*args, **more):
+        seen.append(spark.conf.get(key))
+        return found(*args, **more)
+
+    monkeypatch.setattr(corpus_pipeline.jaccard_join, "near_duplicates", spied)
+    before = spark.conf.get(key, None)
+    docs = spark.createDataFrame([(i, "a b c d e f g") for i in range(4)], "doc_id long, text string")
+    assert corpus_pipeline.near_duplicates(spark, docs, sf_dir).count() == 1
+    assert seen == ["true"] and spark.conf.get(key, None) == before
