@@ -74,6 +74,34 @@ def test_jaccard_join_equals_brute_force(spark):
     assert jaccard_join.near_duplicates(spark, docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_jaccard_join_indexes_no_copies_and_no_unlinked_sets(spark, monkeypatch):
+    rng = random.Random(9)
+    text = lambda: " ".join(f"w{rng.randint(0, 10**6)}" for _ in range(200))
+    alone = [text() for _ in range(60)]
+    near = [t + " and more" for t in alone[:3]]
+    rows = [(i, t) for i, t in enumerate([*alone, *near, *alone, *alone])]
+    stored, store = [], jaccard_join._Store.__call__
+    monkeypatch.setattr(jaccard_join._Store, "__call__", lambda *a: stored.append(store(*a)) or stored[-1])
+    docs = docs_of(spark, rows).repartition(6, "doc_id")
+    found = jaccard_join.near_duplicates(spark, docs).collect()
+    assert {r.doc_id: (r.n_shingles, r.component_id) for r in found} == _components(rows)
+    # Keys of copies and of texts without a near copy are not written: three pairs' are, of 36,000 shingles.
+    assert max(s.count() for s in stored) < 12 * 200
+
+
+def test_prefixes_of_linked_sets_meet():
+    rng = np.random.default_rng(8)
+    for percent in (10, 50, 80, 90, 100):
+        for _ in range(300):
+            both, a, b = rng.integers(1, 60), rng.integers(0, 30), rng.integers(0, 30)
+            if 100 * both < percent * (both + a + b):
+                continue
+            order = rng.permutation(both + a + b)
+            x, y = np.sort(order[: both + a]), np.sort(np.concatenate([order[:both], order[both + a :]]))
+            (m, n), least = jaccard_join.prefixes(np.array([len(x), len(y)]), percent)
+            assert len(np.intersect1d(x[:m], y[:n])) >= max(least)
+
+
 def test_jaccard_join_of_a_large_group_of_far_variants(spark):
     rng = random.Random(4)
     base = [f"w{i}" for i in range(120)]

@@ -6,11 +6,15 @@ to segments. If the segments' allowances e satisfy sum(e + 1) > H, the two sets
 e shingles in at least one segment. So a segment with e = 0 is indexed by the hash of its subset,
 and one with e = 1 by its subset and all subsets with one shingle deleted. How many segments of
 each kind a band has is chosen by cost: rows to index against the candidates that equal subsets
-of unrelated sets would make, given the number of sets in the band. Most keys belong to one set
-only; a first exchange of four bytes a key finds those that may be repeated, as a map of bits, and
-only they are written and shuffled with their sets.
+of unrelated sets would make, given the number of sets in the band.
 
-Equal sets are one node. The nodes of a key are not paired with each other. Each key has a pivot,
+Most sets are linked with none, and most keys belong to one set only; neither are indexed. Linked sets
+have many of their shingles of least hash in common (see prefixes). A first exchange of four bytes for
+each of them finds those that may be repeated, as a map of bits; sets with too few of these are
+linked with nothing, the others are written and partitioned. Their keys go the same way: only
+those that may be repeated are shuffled with their sets.
+
+Equal sets are one node, had by one row. The nodes of a key are not paired with each other. Each key has a pivot,
 the node that shares most keys with others, and the nodes of all keys of a pivot are its group; two
 linked nodes share a key, so they share a group. Every node is compared with one pivot; in groups
 that are still in several components, with a second one out of the rest. What is left then are
@@ -24,25 +28,29 @@ components is lost, and no pairs of a large group are emitted.
 from __future__ import annotations
 
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession
+import pyarrow.compute as pc
+from pyspark import TaskContext
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from wattlake.llm.arrow import id_and_text, map_in_arrow
 from wattlake.llm.text import Words, chunks, combine, mix, words_of
-from wattlake.session import work_folder
+from wattlake.session import shuffles_dropped, work_folder
 
-#: Hashes of keys that a bucket of the search for repeated keys holds, about (4 bytes each).
+#: Hashes that a bucket of the search for repeated ones holds, about (4 bytes each).
 BUCKET_KEYS = 2_000_000
-#: Bits of the map of repeated keys that goes to all tasks: at least, at most (32 MB).
+#: Shingles of stored sets that a task works on together; a longer set comes alone.
+CHUNK_SHINGLES = 200_000
+#: Bits of a map of repeated hashes that goes to all tasks: at least, at most (32 MB).
 LEAST_BITS, MOST_BITS = 1 << 20, 1 << 28
 #: Width of a size band: its smallest size over its largest.
 BAND_RATIO = 0.65
-#: Most ids that are sent to all executors (8 bytes each); beyond, Spark shuffles.
+#: Most pairs or nodes that are sent to all executors (16 bytes each); beyond, Spark shuffles.
 BROADCAST_IDS = 1_000_000
 #: Nodes of a block and most blocks of a group; beyond, blocks grow.
 BLOCK_NODES = 64
@@ -188,8 +196,60 @@ def keys_of(
     return np.concatenate(keys).view(np.int64), np.concatenate(sets)
 
 
-def _map_sets(docs: DataFrame, size: int, schema: str, each, dedupe: bool = False) -> DataFrame:
-    """Run each(ids, values, begins, set ids) -> columns over the shingle sets of all rows."""
+def prefixes(sizes: np.ndarray, percent: int) -> tuple[np.ndarray, np.ndarray]:
+    """Shingles of least hash that are looked at in sets of some sizes, and how many of them at
+    least a linked set has among its own.
+
+    Of a set of n shingles at least c = ceil(percent * n / 100) are in a linked one, whose size is c
+    at least. In any order, the first n - c + k of two linked sets have k shingles in common.
+    Here k is n // 5 + 1; the smaller set's holds for both, and that is c // 5 + 1 at least.
+    """
+    common = -(-percent * sizes // 100)
+    return np.minimum(sizes, sizes - common + sizes // 5 + 1), common // 5 + 1
+
+
+def _prefix_hashes(values: np.ndarray, begins: np.ndarray, percent: int):
+    """Hashes of the shingles in the prefixes of all sets, the set of each, and its least number."""
+    sizes = np.diff(begins)
+    looked, least = prefixes(sizes, percent)
+    owner = np.repeat(np.arange(len(sizes)), looked)
+    at = np.arange(len(owner)) + (begins[:-1] - np.cumsum(looked) + looked)[owner]
+    # The least hashes share their first bits, by which hashes are dealt to buckets.
+    return mix(values[at] ^ np.uint64(0x13198A2E03707344)), owner, least
+
+
+@dataclass
+class Copies:
+    """Nodes that several rows have, in order, and for each the hash of the id that stands for it."""
+
+    nodes: np.ndarray
+    stands: np.ndarray
+
+    def first(self, nodes: np.ndarray, id_hash: np.ndarray) -> np.ndarray:
+        """Whether a row stands for its node; also true for copies that are not held here."""
+        if not len(self.nodes):
+            return np.ones(len(nodes), bool)
+        at = np.minimum(np.searchsorted(self.nodes, nodes), len(self.nodes) - 1)
+        return (self.nodes[at] != nodes) | (self.stands[at] == id_hash)
+
+
+def _copies(nodes: DataFrame) -> Copies:
+    """Of nodes with more copies than BROADCAST_IDS nodes have, others are left out: their copies are
+    then looked at, and one of them is kept later."""
+    least = 2
+    while nodes.where(F.col("copies") >= least).count() > BROADCAST_IDS:
+        least *= 2
+    rows = nodes.where(F.col("copies") >= least).select("node", "stands").toArrow()
+    found, stands = rows["node"].to_numpy(), rows["stands"].to_numpy()
+    order = np.argsort(found)
+    return Copies(found[order], stands[order])
+
+
+def _map_sets(docs: DataFrame, size: int, schema: str, each, copies=None) -> DataFrame:
+    """Run each(batch slice, values, begins, set ids, pick) -> columns over the shingle sets of all rows.
+
+    pick has the rows to use: with copies, those that stand for their node, once in a task.
+    """
     names = [c.split()[0] for c in schema.split(", ")]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -198,14 +258,16 @@ def _map_sets(docs: DataFrame, size: int, schema: str, each, dedupe: bool = Fals
             for rows, texts in chunks(batch):
                 values, begins = shingles(words_of(texts, lower=True), size)
                 nodes = set_ids(values, begins)
+                part = batch.slice(rows.start, len(texts))
                 pick = np.arange(len(texts))
-                if dedupe:
-                    fresh = [i for i, v in enumerate(nodes.tolist()) if v not in seen and not seen.add(v)]
+                if copies is not None:
+                    id_hash = part.column("id_hash").to_numpy()
+                    pick = pick[(np.diff(begins) > 0) & copies.value.first(nodes, id_hash)]
+                    fresh = [i for i in pick.tolist() if (v := int(nodes[i])) not in seen and not seen.add(v)]
                     if len(seen) > 1_000_000:
                         seen.clear()
                     pick = np.array(fresh, np.int64)
-                ids = batch.column("doc_id").slice(rows.start, len(texts))
-                for columns in each(ids, values, begins, nodes, pick):
+                for columns in each(part, values, begins, nodes, pick):
                     yield pa.RecordBatch.from_arrays(columns, names=names)
 
     return map_in_arrow(docs, run, schema)
@@ -214,54 +276,41 @@ def _map_sets(docs: DataFrame, size: int, schema: str, each, dedupe: bool = Fals
 def _sets(docs: DataFrame, size: int) -> DataFrame:
     kind = docs.schema["doc_id"].dataType.simpleString()
 
-    def each(ids, values, begins, nodes, pick):
-        yield [ids, pa.array(np.diff(begins), pa.int64()), pa.array(nodes, pa.int64())]
+    def each(part, values, begins, nodes, pick):
+        yield [
+            part.column("doc_id"),
+            part.column("id_hash"),
+            pa.array(np.diff(begins), pa.int64()),
+            pa.array(nodes, pa.int64()),
+        ]
 
-    return _map_sets(docs, size, f"doc_id {kind}, n_shingles long, node long", each)
+    return _map_sets(docs, size, f"doc_id {kind}, id_hash long, n_shingles long, node long", each)
 
 
-def _keyed(highs: np.ndarray, bands: list[Band], percent: int, begins, values, pick):
-    """(keys, rows of pick's texts) by band, for the texts that pick names."""
-    sizes = np.diff(begins)[pick]
-    own = np.searchsorted(highs, sizes)
-    reach = np.searchsorted(highs, 100 * sizes // percent)
-    for number, band in enumerate(bands):
-        at = pick[(sizes > 0) & ((own == number) | ((own < number) & (reach >= number)))]
-        if len(at):
-            cuts = np.concatenate([[0], np.cumsum(begins[at + 1] - begins[at])])
-            some = np.concatenate([values[begins[i] : begins[i + 1]] for i in at])
-            keys, sets = keys_of(some, cuts, band, number, percent)
-            yield keys, at[sets]
+def _bits_of_buckets(hashes: int) -> int:
+    """First bits by which so many hashes, about, are dealt to buckets."""
+    return min(24, max(6, math.ceil(math.log2(max(1, hashes / BUCKET_KEYS)))))
 
 
-def key_estimate(bands: list[Band], held: dict[int, int]) -> int:
-    """About as many keys as sets have, by the number of sets of each band."""
-    return sum(
-        held.get(b.high, 0) * int(b.exact + b.deletion * (1 + b.high / (b.exact + b.deletion))) for b in bands
-    )
+def _dealt(hashes: np.ndarray, bits: int) -> list[pa.Array]:
+    """Columns bucket and rest of 64-bit hashes: the first bits, and the 32 after them packed."""
+    short = hashes >> np.uint64(32 - bits)
+    short.sort()
+    bucket = (short >> np.uint64(32)).astype(np.int64)
+    opens = np.flatnonzero(np.diff(bucket, prepend=-1))
+    rest = short.astype(np.uint32).view(np.uint8)
+    cuts = np.append(opens, len(short)).astype(np.int32) * 4
+    binary = pa.Array.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(cuts), pa.py_buffer(rest)])
+    return [pa.array(bucket[opens], pa.int64()), binary]
 
 
-def _repeated_keys(docs: DataFrame, size: int, percent: int, bands: list[Band], bits: int) -> DataFrame:
-    """The first 32 + bits bits of keys of which there may be two, as h.
+def _repeated(dealt: DataFrame) -> DataFrame:
+    """The first 32 + bits bits of hashes of which there may be two, as h.
 
-    Most keys are had by one set only and need no shuffle of their own. Here a key travels as four
+    Most hashes are had by one set only and need no shuffle of their own. Here one travels as four
     bytes, dealt by its first bits to buckets of BUCKET_KEYS or so; a bucket's numbers that occur
-    twice are repeated keys, or, with a chance below one in a thousand, single ones that look so.
+    twice are repeated, or, with a chance below one in a thousand, single ones that look so.
     """
-    highs = np.array([b.high for b in bands], np.int64)
-
-    def each(ids, values, begins, nodes, pick):
-        found = [keys for keys, _ in _keyed(highs, bands, percent, begins, values, pick)]
-        if not found:
-            return
-        short = np.concatenate(found).view(np.uint64) >> np.uint64(32 - bits)
-        short.sort()
-        bucket = (short >> np.uint64(32)).astype(np.int64)
-        opens = np.flatnonzero(np.diff(bucket, prepend=-1))
-        rest = short.astype(np.uint32).view(np.uint8)
-        cuts = np.append(opens, len(short)).astype(np.int32) * 4
-        binary = pa.Array.from_buffers(pa.binary(), len(opens), [None, pa.py_buffer(cuts), pa.py_buffer(rest)])
-        yield [pa.array(bucket[opens], pa.int64()), binary]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         waiting: list[bytes] = []
@@ -283,10 +332,98 @@ def _repeated_keys(docs: DataFrame, size: int, percent: int, bands: list[Band],
         if waiting:
             yield repeated()
 
-    dealt = _map_sets(docs, size, "bucket long, rest binary", each, dedupe=True)
     return map_in_arrow(dealt.repartition("bucket").sortWithinPartitions("bucket"), run, "h long")
 
 
+def _repeated_shingles(docs: DataFrame, size: int, percent: int, copies, bits: int) -> DataFrame:
+    """Shingles that may be in the prefixes of two nodes."""
+
+    def each(part, values, begins, nodes, pick):
+        hashes, owner, _ = _prefix_hashes(values, begins, percent)
+        used = np.zeros(len(begins) - 1, bool)
+        used[pick] = True
+        hashes = hashes[used[owner]]
+        if len(hashes):
+            yield _dealt(hashes, bits)
+
+    return _repeated(_map_sets(docs, size, "bucket long, rest binary", each, copies))
+
+
+def _candidates(docs: DataFrame, size: int, percent: int, copies, bits: int, bit_map) -> DataFrame:
+    """Sets that may be linked: row (a number of its own), node, size, sorted shingles and their
+    sketch, as bytes. A node has one row, or several for repeated rows and copies left out."""
+
+    def each(part, values, begins, nodes, pick):
+        hashes, owner, least = _prefix_hashes(values, begins, percent)
+        hit = _may_be_repeated(bit_map.value, hashes, bits)
+        at = pick[np.bincount(owner, hit, minlength=len(nodes))[pick] >= least[pick]]
+        sets = [values[begins[i] : begins[i + 1]] for i in at]
+        yield [
+            pa.array(nodes[at], pa.int64()),
+            pa.array([len(x) for x in sets], pa.int64()),
+            pa.array([x.tobytes() for x in sets], pa.binary()),
+            pa.array([sketch(x).tobytes() for x in sets], pa.binary()),
+        ]
+
+    found = _map_sets(docs, size, "node long, size long, members binary, sketch binary", each, copies)
+    return found.withColumn("row", F.monotonically_increasing_id())
+
+
+def _keyed(highs: np.ndarray, bands: list[Band], percent: int, begins, values, pick):
+    """(keys, rows of pick's texts) by band, for the texts that pick names."""
+    sizes = np.diff(begins)[pick]
+    own = np.searchsorted(highs, sizes)
+    reach = np.searchsorted(highs, 100 * sizes // percent)
+    for number, band in enumerate(bands):
+        at = pick[(sizes > 0) & ((own == number) | ((own < number) & (reach >= number)))]
+        if len(at):
+            cuts = np.concatenate([[0], np.cumsum(begins[at + 1] - begins[at])])
+            some = np.concatenate([values[begins[i] : begins[i + 1]] for i in at])
+            keys, sets = keys_of(some, cuts, band, number, percent)
+            yield keys, at[sets]
+
+
+def key_estimate(bands: list[Band], held: dict[int, int]) -> int:
+    """About as many keys as sets have, by the number of sets of each band."""
+    return sum(
+        held.get(b.high, 0) * int(b.exact + b.deletion * (1 + b.high / (b.exact + b.deletion))) for b in bands
+    )
+
+
+def _map_members(members: DataFrame, schema: str, each) -> DataFrame:
+    """Run each(values, begins, nodes) -> columns over stored sets, some of them at a time."""
+    names = [c.split()[0] for c in schema.split(", ")]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            ends = np.cumsum(pc.binary_length(batch.column("members")).to_numpy().astype(np.int64) // 8)
+            k = 0
+            while k < batch.num_rows:
+                before = ends[k - 1] if k else 0
+                stop = max(k + 1, int(np.searchsorted(ends, before + CHUNK_SHINGLES, side="right")))
+                part = batch.slice(k, stop - k)
+                values = np.frombuffer(b"".join(part.column("members").to_pylist()), np.uint64)
+                begins = np.concatenate([[0], ends[k:stop] - before])
+                for columns in each(values, begins, part.column("node").to_numpy()):
+                    yield pa.RecordBatch.from_arrays(columns, names=names)
+                k = stop
+
+    return map_in_arrow(members.select("node", "members"), run, schema)
+
+
+def _repeated_keys(members: DataFrame, percent: int, bands: list[Band], bits: int) -> DataFrame:
+    """Keys that two nodes may have."""
+    highs = np.array([b.high for b in bands], np.int64)
+
+    def each(values, begins, nodes):
+        pick = np.arange(len(nodes))
+        found = [keys for keys, _ in _keyed(highs, bands, percent, begins, values, pick)]
+        if found:
+            yield _dealt(np.concatenate(found).view(np.uint64), bits)
+
+    return _repeated(_map_members(members, "bucket long, rest binary", each))
+
+
 def _bit_map(repeated: DataFrame) -> np.ndarray:
     """A bit for each h modulo a power of two, 16 bits a number while that stays below MOST_BITS.
 
@@ -321,21 +458,21 @@ def bits_are_set(bit_map: np.ndarray, h: np.ndarray, size: int) -> np.ndarray:
     return (bit_map[block, bit >> 3] >> (bit & 7).astype(np.uint8)) & 1 == 1
 
 
-def _index(
-    docs: DataFrame, size: int, percent: int, bands: list[Band], bits: int, bit_map
-) -> DataFrame:
-    """Keys of all sets that may be repeated; copies within a task are indexed once."""
+def _may_be_repeated(bit_map: np.ndarray, hashes: np.ndarray, bits: int) -> np.ndarray:
+    h = (hashes >> np.uint64(32 - bits)).view(np.int64)
+    return bits_are_set(bit_map, h, (len(bit_map) - 2) * 32768)
+
+
+def _index(members: DataFrame, percent: int, bands: list[Band], bits: int, bit_map) -> DataFrame:
+    """Keys of all candidates that may be repeated."""
     highs = np.array([b.high for b in bands], np.int64)
 
-    def each(ids, values, begins, nodes, pick):
-        whole = bit_map.value
-        places = (len(whole) - 2) * 32768
-        for keys, sets in _keyed(highs, bands, percent, begins, values, pick):
-            h = (keys.view(np.uint64) >> np.uint64(32 - bits)).view(np.int64)
-            may = bits_are_set(whole, h, places)
+    def each(values, begins, nodes):
+        for keys, sets in _keyed(highs, bands, percent, begins, values, np.arange(len(nodes))):
+            may = _may_be_repeated(bit_map.value, keys.view(np.uint64), bits)
             yield [pa.array(keys[may], pa.int64()), pa.array(nodes[sets[may]], pa.int64())]
 
-    return _map_sets(docs, size, "key long, node long", each, dedupe=True)
+    return _map_members(members, "key long, node long", each)
 
 
 def sketch_words(size: int) -> int:
@@ -357,21 +494,6 @@ def fold(one: np.ndarray, words: int) -> np.ndarray:
     return one
 
 
-def _members(docs: DataFrame, size: int) -> DataFrame:
-    """node, the size of its set, its sorted shingles and their sketch, as bytes."""
-
-    def each(ids, values, begins, nodes, pick):
-        sets = [values[begins[i] : begins[i + 1]] for i in pick]
-        yield [
-            pa.array(nodes[pick], pa.int64()),
-            pa.array([len(x) for x in sets], pa.int64()),
-            pa.array([x.tobytes() for x in sets], pa.binary()),
-            pa.array([sketch(x).tobytes() for x in sets], pa.binary()),
-        ]
-
-    return _map_sets(docs, size, "node long, size long, members binary, sketch binary", each)
-
-
 def blocks_of(n: Column) -> Column:
     """Number of blocks of a group of n nodes."""
     few = F.least(F.ceil(n / BLOCK_NODES), F.lit(MOST_BLOCKS))
@@ -451,15 +573,24 @@ def _near_in_blocks(nodes: DataFrame, percent: int) -> DataFrame:
     return map_in_arrow(dealt, run, "a long, b long").distinct()
 
 
+def _small(table: DataFrame) -> DataFrame:
+    """A stored table, sent to all tasks if its size allows."""
+    return F.broadcast(table) if table.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS else table
+
+
 def _sides(pairs: DataFrame, members: DataFrame, *columns: str) -> DataFrame:
-    """Pairs (a, b) with columns of both their sets."""
-    for side in ("b", "a"):
-        renamed = [F.col(c).alias(f"{side}_{c}") for c in columns]
-        pairs = pairs.join(members.select(F.col("node").alias(side), *renamed), side)
-    return pairs.select("a", "b", *(f"{side}_{c}" for side in "ab" for c in columns))
+    """Stored pairs (a, b) with columns of both their sets.
+
+    Sets are long and pairs are short: pairs go to the sets of b, and of a only used ones travel.
+    """
+    pairs = _small(pairs)
+    b = pairs.join(members.select(F.col("node").alias("b"), *(F.col(c).alias(f"b_{c}") for c in columns)), "b")
+    used = members.join(pairs.select(F.col("a").alias("node")), "node", "left_semi")
+    a = used.select(F.col("node").alias("a"), *(F.col(c).alias(f"a_{c}") for c in columns))
+    return b.join(a, "a").select("a", "b", *(f"{side}_{c}" for side in "ab" for c in columns))
 
 
-def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
+def _linked(store: Callable, pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
     """The pairs (a, b) whose sets are similar enough.
 
     Sketches go first, since they are short: a pair in which too many of their bits differ is not
@@ -488,7 +619,7 @@ def _linked(pairs: DataFrame, members: DataFrame, percent: int) -> DataFrame:
                 keep.append(100 * common >= percent * (len(both) - common))
             yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    close = map_in_arrow(_sides(pairs, members, "sketch", "size"), near, "a long, b long")
+    close = store(map_in_arrow(_sides(store(pairs), members, "sketch", "size"), near, "a long, b long"))
     return map_in_arrow(_sides(close, members, "members"), same, "a long, b long")
 
 
@@ -554,45 +685,73 @@ def near_duplicates(
     columns are not read. Rows without an id keep a null id and never name a component; a set that
     only such rows have is linked with nothing and has no component.
     """
+    with shuffles_dropped(spark):
+        sets, names = _components_of_sets(spark, docs, shingle_words, percent, id_col, text_col)
+    own = F.when(F.col("n_shingles") > 0, F.col("component_id")).otherwise(F.col("doc_id"))
+    return sets.join(names, "node", "left").select(
+        "doc_id", "n_shingles", own.cast(sets.schema["doc_id"].dataType).alias("component_id")
+    )
+
+
+def _components_of_sets(
+    spark: SparkSession, docs: DataFrame, shingle_words: int, percent: int, id_col: str, text_col: str
+) -> tuple[DataFrame, DataFrame]:
+    """doc_id, n_shingles and node of each row, and component_id of each node."""
     store = _Store(spark)
-    source = id_and_text(docs, id_col, text_col)
-    kind = source.schema["doc_id"].dataType.simpleString()
+    source = id_and_text(docs, id_col, text_col).withColumn("id_hash", F.xxhash64("doc_id"))
     sets = store(_sets(source, shingle_words))
+    with_id = F.when(F.col("doc_id").isNotNull(), F.col("id_hash"))
     nodes = store(
         sets.where("n_shingles > 0")
         .groupBy("node")
-        .agg(F.min("doc_id").alias("label"), F.first("n_shingles").alias("size"))
+        .agg(
+            F.min("doc_id").alias("label"),
+            F.first("n_shingles").alias("size"),
+            F.min(with_id).alias("stands"),
+            F.count(with_id).alias("copies"),
+        )
     )
+    share = spark.sparkContext.broadcast
+    copies = share(_copies(nodes))
+    # Sets without an id are linked with nothing.
+    source = source.where("doc_id IS NOT NULL")
+    shingles_held = nodes.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    bits = _bits_of_buckets(shingles_held)
+    repeated = store(_repeated_shingles(source, shingle_words, percent, copies, bits))
+    bit_map = share(_bit_map(repeated))
+    found = store(_candidates(source, shingle_words, percent, copies, bits, bit_map))
+    several = store(found.groupBy("node").agg(F.min("row").alias("kept"), F.count("*").alias("n")).where("n > 1"))
+    members = (
+        found.join(several.drop("n"), "node", "left").where("kept IS NULL OR kept = row").drop("kept", "row")
+    )
+
     # One row for each band that has sets: the sizes of bands grow geometrically.
-    largest = nodes.agg(F.max("size")).first()[0] or 0
+    largest = members.agg(F.max("size")).first()[0] or 0
     limits = band_limits(largest_partner(percent, largest))
     high = F.expr("CASE " + " ".join(f"WHEN size <= {h} THEN {h}" for _, h in limits) + " END") if limits else F.lit(0)
-    held = {r["high"]: r["n"] for r in nodes.groupBy(high.alias("high")).agg(F.count("*").alias("n")).collect()}
+    held = {r["high"]: r["n"] for r in members.groupBy(high.alias("high")).agg(F.count("*").alias("n")).collect()}
     bands = [allocate(a, b, held.get(b, 0), percent) for a, b in limits]
 
-    bits = min(24, max(6, math.ceil(math.log2(max(1, key_estimate(bands, held) / BUCKET_KEYS)))))
-    repeated = store(_repeated_keys(source, shingle_words, percent, bands, bits))
-    bit_map = spark.sparkContext.broadcast(_bit_map(repeated))
-    index = store(_index(source, shingle_words, percent, bands, bits, bit_map))
-    shared = (
-        index.groupBy("key")
-        .agg(F.min("node").alias("low"), F.max("node").alias("high"), F.count("*").alias("n"))
-        .where("low < high")
-        .select("key", "n")
-    )
+    bits = _bits_of_buckets(key_estimate(bands, held))
+    bit_map = share(_bit_map(store(_repeated_keys(members, percent, bands, bits))))
+    index = _index(members, percent, bands, bits, bit_map)
     # Only keys of two different sets or more are kept.
-    buckets = store(index.join(shared, "key").distinct())
-    weight = store(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
-    pivots = (
-        buckets.join(weight, "node")
-        .groupBy("key")
-        .agg(F.max(F.struct("weight", "node")).alias("best"))
-        .select("key", F.col("best.node").alias("pivot"))
+    by_key = Window.partitionBy("key")
+    buckets = store(
+        index.repartition("key")
+        .dropDuplicates(["key", "node"])
+        .withColumn("n", F.count("*").over(by_key))
+        .where("n > 1")
     )
+    weight = store(buckets.groupBy("node").agg(F.sum("n").alias("weight")))
+    pivot = F.max(F.struct("weight", "node")).over(by_key)["node"]
     groups = store(
-        buckets.join(pivots, "key").groupBy("pivot", "node").agg(F.count("*").alias("keys"))
+        buckets.drop("n")
+        .join(weight, "node")
+        .withColumn("pivot", pivot)
+        .groupBy("pivot", "node")
+        .agg(F.count("*").alias("keys"))
     )
-    members = store(_candidate_members(spark, source, buckets, nodes, shingle_words))
 
     first = (
         groups.where("node <> pivot")
@@ -600,7 +759,7 @@ def near_duplicates(
         .agg(F.max(F.struct("keys", "pivot")).alias("best"))
         .select(F.col("best.pivot").alias("a"), "b")
     )
-    linked_pairs = store(_linked(first, members, percent))
+    linked_pairs = store(_linked(store, first, members, percent))
 
     rest = store(_open_groups(groups, components(store, linked_pairs, nodes)))
     seconds = (
@@ -616,27 +775,17 @@ def near_duplicates(
         .select(F.least("a", "node").alias("a"), F.greatest("a", "node").alias("b"))
         .distinct()
     )
-    linked_pairs = store(linked_pairs.unionByName(_linked(more, members, percent)))
+    linked_pairs = store(linked_pairs.unionByName(_linked(store, more, members, percent)))
 
     rest = _open_groups(groups, components(store, linked_pairs, nodes))
     near = _near_in_blocks(rest.join(members.drop("members"), "node"), percent)
-    linked_pairs = store(linked_pairs.unionByName(_linked(near, members, percent)))
+    linked_pairs = store(linked_pairs.unionByName(_linked(store, near, members, percent)))
 
     linked = components(store, linked_pairs, nodes).withColumnRenamed("label", "reached")
     names = nodes.join(linked, "node", "left").select(
         "node", F.coalesce("reached", "label").alias("component_id")
     )
-    return (
-        sets.join(names, "node", "left")
-        .select(
-            "doc_id",
-            "n_shingles",
-            F.when(F.col("n_shingles") > 0, F.col("component_id"))
-            .otherwise(F.col("doc_id"))
-            .cast(kind)
-            .alias("component_id"),
-        )
-    )
+    return sets, names
 
 
 def _open_groups(groups: DataFrame, linked: DataFrame) -> DataFrame:
@@ -657,17 +806,3 @@ def _open_groups(groups: DataFrame, linked: DataFrame) -> DataFrame:
         .drop("low", "high")
     )
     return placed.join(parted, "pivot")
-
-
-def _candidate_members(
-    spark: SparkSession, source: DataFrame, buckets: DataFrame, nodes: DataFrame, size: int
-) -> DataFrame:
-    """Shingles of every set that shares a key with another, from one document of each set."""
-    wanted = (
-        nodes.join(buckets.select("node").distinct(), "node", "left_semi")
-        .select(F.col("label").alias("doc_id"))
-        .distinct()
-    )
-    if wanted.limit(BROADCAST_IDS + 1).count() <= BROADCAST_IDS:
-        wanted = F.broadcast(wanted)
-    return _members(source.join(wanted, "doc_id", "left_semi"), size).dropDuplicates(["node"])
