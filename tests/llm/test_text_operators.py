@@ -435,6 +435,24 @@ def test_base_scores_and_tree_equal_brute_force(spark):
     assert suffix_tree.score(spark, docs_of(spark, rows).limit(0)).count() == 0
 
 
+def test_only_unsettled_keys_are_joined(spark):
+    rng = random.Random(6)
+    texts = [" ".join(["a b c d", "a b e", "x b c", "c d a"][rng.randint(0, 3)] for _ in range(8)) for _ in range(60)]
+    docs = docs_of(spark, [(i, t) for i, t in enumerate(texts)])
+    settings = suffix_tree.Settings(least_context=6, least_pair=2)
+    nodes, entries, depth = suffix_tree.train(spark, docs, suffix_tree.word_counts(docs), len(texts), settings)
+    contexts, every = suffix_tree.Known(nodes, settings), suffix_tree.Known(entries, settings)
+    some = suffix_tree.Known(entries, suffix_tree.Settings(head_keys=len(every.keys) // 2))
+    rest = {r.key: r.value for r in some.rest.collect()}
+    assert depth > 1 and some.keys.size and rest
+    whole, none, _ = suffix_tree.Tree(contexts, every, depth).gains([t.encode() for t in texts])
+    part, late, owner = suffix_tree.Tree(contexts, some, depth).gains([t.encode() for t in texts])
+    # Of a position, levels that the arrays know are not sent, nor are contexts.
+    assert not len(none) and {*late.view(np.int64).tolist()} <= {*rest}
+    joined = np.bincount(owner, [rest[k] for k in late.view(np.int64).tolist()], minlength=len(texts))
+    assert np.allclose(part + joined, whole, atol=1e-4)
+
+
 def test_more_text_grows_the_tree(spark):
     rng = random.Random(10)
     words = [f"w{i}" for i in range(40)]

@@ -14,11 +14,15 @@ P(x|c) = n(c,x) / (n(c) + t(c)) + l(c) P(x|suffix of c) for the t(c) symbols x s
 or more after c, and l(c) P(x|suffix) for all others, where l(c) makes the sum one. Each symbol is
 scored in the state of the longest retained suffix of what precedes it in its text.
 
+Contexts and pairs of a position are closed under suffixes, so its log10 P is a sum over its levels: the
+root's, log10 l of each retained context, and for each counted pair what it has more than these give,
+log10 P(x|c) - log10 P(x|suffix of c) - log10 l(c). So each key is looked up for itself.
+
 A sequence is known by a 64-bit polynomial of its words' hashes. Bitmaps of hashes, of a fixed size,
 tell tasks which positions may count; joins then part what shares a bit. Of the model the most
-frequent keys, a bounded number, go to all tasks as arrays, and bitmaps of the others; positions
-that these bitmaps cannot settle are joined with the whole tables by a shuffle. Word counts of
-the base travel in the same way.
+frequent keys, a bounded number, go to all tasks as arrays, and bitmaps of the others; keys that
+these bitmaps cannot settle are joined with the other keys by a shuffle. Word counts of the base
+travel in the same way.
 """
 
 from __future__ import annotations
@@ -233,7 +237,7 @@ def _sum_counts(docs: DataFrame, each) -> DataFrame:
 def train(
     spark: SparkSession, docs: DataFrame, vocabulary: DataFrame, ends: int, settings: Settings
 ) -> tuple[DataFrame, DataFrame, int]:
-    """Contexts (key, n, value: log10 of l), pairs (key, n, value: log10 P minus the root's), depth.
+    """Contexts (key, n, value: log10 of l), pairs (key, n, value: log10 P minus that without it), depth.
 
     vocabulary: code and n of each word of the texts; docs: their text column.
     """
@@ -248,7 +252,6 @@ def train(
         F.col("code").alias("suffix_pair"),
         (F.col("n") / F.lit(float(max(tokens, 1)))).alias("q_own"),
         first.alias("q"),
-        F.log10(first).alias("root"),
     )
     candidates = vocabulary.where(F.col("n") >= settings.least_context).select(
         F.col("code").alias("context"), F.col("n").alias("n_context")
@@ -289,11 +292,12 @@ def train(
         retained.write.parquet(f"{folder}/contexts{depth}")
         retained = spark.read.parquet(f"{folder}/contexts{depth}")
         p = F.col("n") / (F.col("n_context") + F.col("t")) + F.col("l") * F.col("q")
+        more = F.log10(p) - F.log10("q") - F.log10("l")
         rows.join(retained.drop("n_context"), "context").select(
-            "context", "pair", "suffix_pair", "n", own.alias("q_own"), p.alias("q"), "root"
+            "pair", "suffix_pair", "n", own.alias("q_own"), p.alias("q"), more.alias("more")
         ).write.parquet(f"{folder}/pairs{depth}")
         kept = spark.read.parquet(f"{folder}/pairs{depth}")
-        upper = kept.select(F.col("pair").alias("suffix_pair"), "q_own", "q", "root")
+        upper = kept.select(F.col("pair").alias("suffix_pair"), "q_own", "q")
         candidates = (
             kept.where(F.col("n") >= settings.least_context)
             .join(retained.select(F.col("context").alias("suffix_pair")), "suffix_pair", "left_semi")
@@ -314,7 +318,7 @@ def train(
         )
         entries = entries.unionByName(
             spark.read.parquet(f"{folder}/pairs{k}").select(
-                F.col("pair").alias("key"), "n", (F.log10("q") - F.col("root")).alias("value")
+                F.col("pair").alias("key"), "n", F.col("more").alias("value")
             )
         )
     return nodes, entries, depth
@@ -366,6 +370,11 @@ class Known:
             self.keys, self.values = keys[order], rows["value"].to_numpy()[order]
         others = table if least is None else table.where(tier < least)
         self.others = _bitmap(others, "key", settings.bitmap_bits) if others.limit(1).count() else None
+        #: The rows that are not held as arrays; not sent with this object.
+        self.rest = others.select("key", F.col("value").cast("float").alias("value"))
+
+    def __getstate__(self) -> dict:
+        return {k: v for k, v in vars(self).items() if k != "rest"}
 
     def find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each key whether it is known, its value (else 0), whether it may be among the others."""
@@ -392,63 +401,43 @@ class Tree:
     pairs: Known
     depth: int
 
-    def gains(self, texts: list[bytes]) -> tuple[np.ndarray, tuple[np.ndarray, ...]]:
-        """log10 P minus the root's of each text, without the positions that need the whole tables.
-
-        Of those: text, position, level, context and pair for each level that may exist.
-        """
+    def gains(self, texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """log10 P minus the root's of each text, without keys that have to be joined; these keys, and
+        the text of each, in order. A context's key is inverted there: it may be a pair's as well."""
         s = symbols_of(texts)
-        gain = np.zeros(len(s.codes))
-        late = np.zeros(len(s.codes), bool)
+        gain = np.zeros(len(texts))
         at = np.flatnonzero(s.age >= 1)
         shorter = s.codes
-        levels = []
+        owners, late = [], []
         for depth in range(1, self.depth + 1):
             if depth > 1:
                 at = at[s.age[at] >= depth]
                 shorter = s.longer(shorter)
             context = shorter[at - 1]
             hit, value, maybe = self.contexts.find(context)
+            owners.append(s.owner[at[maybe]])
+            late.append(~context[maybe])
             use = hit | maybe
-            at, value, maybe, context = at[use], value[use], maybe[use], context[use]
+            at, value, context = at[use], value[use], context[use]
             pair = s.codes[at] + BASE * context
-            seen, own, perhaps = self.pairs.find(pair)
-            gain[at] = np.where(seen, own, gain[at] + value)
-            late[at] |= maybe | perhaps
-            levels.append((at, np.full(len(at), depth), context, pair))
-        gain[late] = 0
-        total = np.bincount(s.owner, gain, minlength=len(texts))
-        if not late.any():
-            none = np.zeros(0, np.int64)
-            return total, (none, none, none, none.view(np.uint64), none.view(np.uint64))
-        at, depth, context, pair = (np.concatenate(c) for c in zip(*levels))
-        use = np.flatnonzero(late[at])
-        use = use[np.argsort(s.owner[at[use]], kind="stable")]
-        return total, (s.owner[at[use]], s.age[at[use]], depth[use], context[use], pair[use])
-
-
-def _late_gains(scored: DataFrame, nodes: DataFrame, entries: DataFrame) -> DataFrame:
-    """row, gain of the positions that bitmaps could not settle."""
-    late = scored.select("row", F.explode(F.arrays_zip("position", "level", "context", "pair")).alias("l"))
-    levels = (
-        late.select("row", "l.*")
-        .join(nodes.select(F.col("key").alias("context"), F.col("value").cast("float").alias("less")), "context")
-        .join(
-            entries.select(F.col("key").alias("pair"), F.col("value").cast("float").alias("own")), "pair", "left"
-        )
-    )
-    # At most as many levels as the tree has for each position.
-    of_position = levels.groupBy("row", "position").agg(
-        F.array_sort(F.collect_list(F.struct("level", "less", "own"))).alias("levels")
-    )
-    gain = F.aggregate(
-        "levels",
-        F.lit(0.0),
-        lambda sum_, level: F.when(level["own"].isNotNull(), level["own"].cast("double")).otherwise(
-            sum_ + level["less"].cast("double")
-        ),
+            _, own, perhaps = self.pairs.find(pair)
+            gain += np.bincount(s.owner[at], value + own, minlength=len(texts))
+            owners.append(s.owner[at[perhaps]])
+            late.append(pair[perhaps])
+        owner = np.concatenate([np.zeros(0, np.int64), *owners])
+        order = np.argsort(owner, kind="stable")
+        return gain, np.concatenate([np.zeros(0, np.uint64), *late])[order], owner[order]
+
+
+def _late_gains(scored: DataFrame, tree: Tree) -> DataFrame:
+    """row, gain by the keys that bitmaps could not settle."""
+    inverted = tree.contexts.rest.select(F.bitwise_not("key").alias("key"), "value")
+    late = scored.select("row", F.explode("late").alias("key"))
+    return (
+        late.join(inverted.unionByName(tree.pairs.rest), "key")
+        .groupBy("row")
+        .agg(F.sum(F.col("value").cast("double")).alias("late_gain"))
     )
-    return of_position.groupBy("row").agg(F.sum(gain).alias("late_gain"))
 
 
 def score(
@@ -502,7 +491,7 @@ def score(
                 known = head[at] == codes if len(head) else np.zeros(len(codes), bool)
                 rare = np.flatnonzero(~known)
                 cuts = np.searchsorted(owner[rare], np.arange(len(texts) + 1))
-                gains, (text, *late) = tree.gains(texts)
+                gains, late, text = tree.gains(texts)
                 late_cuts = pa.array(np.searchsorted(text, np.arange(len(texts) + 1)), pa.int32())
                 yield pa.RecordBatch.from_arrays(
                     [
@@ -516,15 +505,9 @@ def score(
                         pa.ListArray.from_arrays(
                             pa.array(cuts, pa.int32()), pa.array(codes[rare], pa.int64())
                         ),
-                        *(
-                            pa.ListArray.from_arrays(late_cuts, pa.array(c.view(np.int64), pa.int64()))
-                            for c in late
-                        ),
-                    ],
-                    names=[
-                        "row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "gain", "rare",
-                        "position", "level", "context", "pair",
+                        pa.ListArray.from_arrays(late_cuts, pa.array(late.view(np.int64), pa.int64())),
                     ],
+                    names=["row", "doc_id", "held_out", "n_tokens", "n_head", "head_logs", "gain", "rare", "late"],
                 )
                 row += len(texts)
 
@@ -532,8 +515,7 @@ def score(
         source,
         run,
         f"row long, doc_id {kind}, held_out boolean, n_tokens long, n_head long, head_logs double, "
-        "gain double, rare array<long>, position array<long>, level array<long>, context array<long>, "
-        "pair array<long>",
+        "gain double, rare array<long>, late array<long>",
     ).write.parquet(f"{folder}/scored")
     scored = spark.read.parquet(f"{folder}/scored")
     rare = (
@@ -542,13 +524,17 @@ def score(
         .groupBy("row")
         .agg(F.count("*").alias("n_rare"), F.sum(F.log10(F.col("n") + 1)).alias("rare_logs"))
     )
+    with shuffles_dropped(spark):
+        for name, table in (("rare", rare), ("late", _late_gains(scored, tree))):
+            table.write.parquet(f"{folder}/{name}")
+    rare, late = (spark.read.parquet(f"{folder}/{name}") for name in ("rare", "late"))
     end_log = float(np.log10(ends + 1))
     below = float(np.log10(tokens + kinds + 1))
     base = F.col("head_logs") + F.coalesce("rare_logs", F.lit(0.0)) + end_log - F.col("n_tokens") * below
     return (
-        scored.drop("rare", "position", "level", "context", "pair")
+        scored.drop("rare", "late")
         .join(rare, "row", "left")
-        .join(_late_gains(scored, nodes, entries), "row", "left")
+        .join(late, "row", "left")
         .select(
             "doc_id",
             "held_out",
